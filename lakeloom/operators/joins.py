@@ -29,7 +29,10 @@ def anti_join(
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     spread = F.when(no_key, F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SPREAD))).otherwise(F.lit(0))
     seen = right.select(*keys).dropna()
-    seen = (seen.distinct() if repeated else seen).withColumn("__spread", F.lit(0).cast("long"))
+    # Always 0, but not a literal: the optimizer would turn a literal into a filter on the left
+    # side and drop the column from the join keys.
+    zero = F.pmod(F.xxhash64(*keys), F.lit(1))
+    seen = (seen.distinct() if repeated else seen).withColumn("__spread", zero.cast("long"))
     return (
         left.withColumn("__spread", spread.cast("long"))
         .join(seen, [*keys, "__spread"], "left_anti")

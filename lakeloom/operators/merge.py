@@ -12,14 +12,15 @@ from lakeloom.operators.joins import anti_join, null_safe_on
 from lakeloom.session import settle
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
-    """The last row of each key.
+def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column | str]) -> DataFrame:
+    """The last row of each key; a name in ``newest_first`` means that column, descending.
 
     ``row_number() = 1`` is limited on the map side already (WindowGroupLimit), so of a key
     with very many rows each task sends one. The content hash settles ties the same way on
     every rerun.
     """
-    order = [*newest_first, F.xxhash64(*df.columns).desc()]
+    named = [F.col(c).desc() if isinstance(c, str) else c for c in newest_first]
+    order = [*named, F.xxhash64(*df.columns).desc()]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("__rank", rank).where(F.col("__rank") == 1).drop("__rank")
 
@@ -28,7 +29,7 @@ def merge_by_key(
     target: DataFrame | None,
     updates: DataFrame,
     keys: Sequence[str],
-    newest_first: Sequence[Column],
+    newest_first: Sequence[Column | str],
 ) -> DataFrame:
     """Upsert: last update per key wins, target rows not updated stay.
 
@@ -72,7 +73,7 @@ def upsert_table(
     updates: DataFrame,
     path: str,
     keys: Sequence[str],
-    newest_first: Sequence[Column],
+    newest_first: Sequence[Column | str],
     partition_by: Sequence[str] = (),
 ) -> None:
     """Merge ``updates`` into the table at ``path``.

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -52,6 +54,10 @@ def price_movement(
     )
 
 
+#: Up to this many rows a key is sorted by one task as a matter of course.
+WHOLE_KEY_ROWS = 1_000_000
+
+
 def trailing(
     df: DataFrame,
     keys: Sequence[str],
@@ -60,28 +66,66 @@ def trailing(
     measures: Callable[[WindowSpec, WindowSpec], dict[str, Column]],
     rows: int,
     slice_by: Column,
+    whole_up_to: int | None = WHOLE_KEY_ROWS,
 ) -> DataFrame:
-    """Row-based trailing window whose keys are cut into slices along the order.
+    """Row-based trailing window in which large keys are cut into slices along the order.
 
-    A plain window sorts a whole key in one task. Here the work unit is one (key, slice), for
-    example one city and year; ``slice_by`` must not decrease along ``order``. The last
-    ``rows - 1`` rows of the slices before are handed over to each slice, so every frame sees
-    exactly the rows it would see in the unsliced window.
+    A plain window sorts a whole key in one task. Keys with more than ``whole_up_to`` rows are
+    worked on slice by slice instead, for example one city and year at a time; ``slice_by``
+    must not decrease along ``order``. Which keys are large is counted first, over the key
+    columns alone. With ``None`` nothing is counted and every key is sliced.
 
     ``measures(frame, ordered)`` gets the trailing frame and the plain ordered window (for
     ``lag``) and returns the new columns; ``carry`` names the columns they read. ``order`` has
     to be total within a key.
     """
+    if whole_up_to is None:
+        return _sliced(df, F.lit(True), slice_by, keys, order, carry, measures, rows)
+    # At most (rows of the table / whole_up_to) keys can be large.
+    large = settle(
+        df.groupBy(*keys).count().where(F.col("count") > whole_up_to).select(*keys), "large-keys"
+    )
+    if large.isEmpty():
+        ordered = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_last(c) for c in order])
+        return df.withColumns(measures(ordered.rowsBetween(1 - rows, 0), ordered))
+    flagged = df.join(
+        large.withColumnsRenamed({k: f"__{k}" for k in keys}).withColumn("__is_large", F.lit(True)),
+        reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]),
+        "left",
+    ).drop(*[f"__{k}" for k in keys])
+    is_large = F.coalesce("__is_large", F.lit(False))
+    return _sliced(flagged, is_large, slice_by, keys, order, carry, measures, rows).drop("__is_large")
+
+
+def _sliced(
+    df: DataFrame,
+    is_large: Column,
+    slice_by: Column,
+    keys: Sequence[str],
+    order: Sequence[str],
+    carry: Sequence[str],
+    measures: Callable[[WindowSpec, WindowSpec], dict[str, Column]],
+    rows: int,
+) -> DataFrame:
+    """The window over (key, slice), each slice led by the last rows before it.
+
+    The last ``rows - 1`` rows of the slices before are handed over to each slice, so every
+    frame sees exactly the rows it would see in the unsliced window. Keys that are not large
+    are one slice; rows without an order value form the last slice of their key.
+    """
     back = rows - 1
     ascending = [F.asc_nulls_last(c) for c in order]
     descending = [F.desc_nulls_first(c) for c in order]
-    unit = [*keys, "__slice"]
+    sliced = df.withColumns(
+        {"__late": F.when(is_large, slice_by.isNull()), "__slice": F.when(is_large, slice_by)}
+    )
+    unit = [*keys, "__late", "__slice"]
     needed = list(dict.fromkeys([*order, *carry]))
-    sliced = df.withColumn("__slice", slice_by)
 
     # At most ``rows - 1`` rows per (key, slice); the limit already applies before the shuffle.
     last_rows = (
         sliced.select(*unit, *needed)
+        .where(F.col("__late").isNotNull())
         .withColumn("__back", F.row_number().over(Window.partitionBy(*unit).orderBy(*descending)))
         .where(F.col("__back") <= back)
     )
@@ -91,7 +135,7 @@ def trailing(
         ).alias("__tail")
     )
     # One row per (key, slice); ``rows - 1`` non-empty slices hold at least ``rows - 1`` rows.
-    before = Window.partitionBy(*keys).orderBy(F.asc_nulls_last("__slice")).rowsBetween(-back, -1)
+    before = Window.partitionBy(*keys).orderBy("__late", "__slice").rowsBetween(-back, -1)
     handed = F.flatten(F.collect_list("__tail").over(before))
     halo = (
         tails.select(*unit, handed.alias("__halo"))
@@ -108,5 +152,4 @@ def trailing(
     ordered = Window.partitionBy(*unit).orderBy(*ascending)
     frame = ordered.rowsBetween(-back, 0)
     both = sliced.withColumn("__handed", F.lit(False)).unionByName(halo, allowMissingColumns=True)
-    new = measures(frame, ordered)
-    return both.withColumns(new).where(~F.col("__handed")).drop("__handed", "__slice")
+    return both.withColumns(measures(frame, ordered)).where(~F.col("__handed")).drop("__handed", "__late", "__slice")

@@ -78,7 +78,7 @@ def base_uv(uv_index: DataFrame) -> DataFrame:
 def staging_weather(weather: DataFrame) -> DataFrame:
     """Daily weather against the mean of the last fourteen rows of its city.
 
-    Cities are worked on year by year, so a city with a very long or dense record is spread.
+    A city with a very long or dense record is worked on year by year.
     """
 
     def measures(frame, ordered) -> dict[str, Column]:

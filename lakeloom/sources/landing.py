@@ -140,8 +140,17 @@ def child_table(df: DataFrame, lists: str, row_id: str = "_dlt_id") -> DataFrame
 
 
 def zip_lists(df: DataFrame, lists: Mapping[str, str], *keep: str | Column) -> DataFrame:
-    """Parallel lists to rows by index; ``lists`` maps output names to list columns."""
-    zipped = F.arrays_zip(*[F.col(path).alias(name) for name, path in lists.items()])
+    """Parallel lists to rows by index; ``lists`` maps output names to list columns.
+
+    A list that is missing or shorter than the others gives nulls.
+    """
+    found = df.select(*[F.col(path).alias(name) for name, path in lists.items()]).schema
+    zipped = F.arrays_zip(
+        *[
+            F.coalesce(path, F.array().cast(found[name].dataType)).alias(name)
+            for name, path in lists.items()
+        ]
+    )
     named = F.transform(
         zipped, lambda z: F.struct(*[z[name].alias(name) for name in lists])
     )

@@ -50,7 +50,7 @@ def merge_stream(
     target: str,
     checkpoint: str,
     keys: Sequence[str],
-    newest_first: Sequence[Column],
+    newest_first: Sequence[Column | str],
     partition_by: Sequence[str] = (),
     available_now: bool = True,
     interval: str = "1 minute",
@@ -71,7 +71,7 @@ def append_stream(
     target: str,
     checkpoint: str,
     keys: Sequence[str],
-    newest_first: Sequence[Column],
+    newest_first: Sequence[Column | str],
     available_now: bool = True,
     interval: str = "1 minute",
 ) -> StreamingQuery:

@@ -362,9 +362,14 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.withColumns({c: six(F.col(c)) for c in ["temperature_mean", *_ROLLING]})
 
 
+def _weather_table(t: Tables) -> DataFrame:
+    """The base layer as the table it is: aggregated once, read twice by the trailing window."""
+    return settle(base_weather(t), "base-weather")
+
+
 @query("staging_weather", "SELECT * FROM staging_weather")
 def staging_weather(t: Tables) -> DataFrame:
-    return _rounded(weather.staging_weather(base_weather(t)))
+    return _rounded(weather.staging_weather(_weather_table(t)))
 
 
 @query(
@@ -373,7 +378,7 @@ def staging_weather(t: Tables) -> DataFrame:
        FROM staging_weather w LEFT JOIN staging_geo g ON g.city = w.city""",
 )
 def fact_weather(t: Tables) -> DataFrame:
-    staged = weather.staging_weather(base_weather(t))
+    staged = weather.staging_weather(_weather_table(t))
     return _rounded(weather.fact_weather(staged, staging_geo(t)))
 
 

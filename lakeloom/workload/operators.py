@@ -144,7 +144,7 @@ def flatten_structs(t: Tables) -> DataFrame:
 
 @query("source_tag", "SELECT l_partkey, l_suppkey, 'lineitem' AS source_table FROM lineitem")
 def source_tag(t: Tables) -> DataFrame:
-    tagged = landing.tag_from_path(t.lineitem, r"([^/]+)\.parquet$", "source_table")
+    tagged = landing.tag_from_path(t.lineitem, r"/([^/]+)\.parquet$", "source_table")
     return tagged.select("l_partkey", "l_suppkey", "source_table")
 
 
@@ -543,7 +543,15 @@ def rolling_anomaly(t: Tables) -> DataFrame:
             "change": total - F.lag(total).over(ordered),
         }
 
-    rows = windows.trailing(daily, ["event_type"], ["day"], ["total"], measures, V.TRAILING_ROWS, F.trunc("day", "month"))
+    rows = windows.trailing(
+        settle(daily, "daily-events"),
+        ["event_type"],
+        ["day"],
+        ["total"],
+        measures,
+        V.TRAILING_ROWS,
+        slice_by=F.trunc("day", "month"),
+    )
     return rows.withColumns({c: six(F.col(c)) for c in ("total", "anomaly", "trailing_avg", "change")})
 
 
@@ -563,7 +571,14 @@ def rolling_ticks(t: Tables) -> DataFrame:
 
     ticks = t.events.select("event_id", "event_type", "ts", "value")
     rows = windows.trailing(
-        ticks, ["event_type"], ["ts", "event_id"], ["value"], measures, V.TRAILING_ROWS, F.to_date("ts")
+        ticks,
+        ["event_type"],
+        ["ts", "event_id"],
+        ["value"],
+        measures,
+        V.TRAILING_ROWS,
+        slice_by=F.to_date("ts"),
+        whole_up_to=None,
     )
     return rows.select("event_id", "event_type", six(F.col("trailing_avg")).alias("trailing_avg"), six(F.col("change")).alias("change"))
 
@@ -598,7 +613,7 @@ def _stored_and_updates(t: Tables) -> tuple[DataFrame, DataFrame]:
         F.col("o_orderkey").alias("seq"),
     ]
     stored = merge.latest_per_key(
-        t.orders.where(F.year("o_orderdate") < 1998).select(*cols), ["cust", "day"], [F.col("seq").desc()]
+        t.orders.where(F.year("o_orderdate") < 1998).select(*cols), ["cust", "day"], ["seq"]
     )
     updates = t.orders.where(F.year("o_orderdate") >= 1997).select(*cols)
     return stored, updates.withColumn("price", F.col("price") + 1)
@@ -617,7 +632,7 @@ def _stored_and_updates(t: Tables) -> tuple[DataFrame, DataFrame]:
 )
 def merge_by_key(t: Tables) -> DataFrame:
     stored, updates = _stored_and_updates(t)
-    return merge.merge_by_key(stored, updates, ["cust", "day"], [F.col("seq").desc()])
+    return merge.merge_by_key(stored, updates, ["cust", "day"], ["seq"])
 
 
 @query(
@@ -640,7 +655,7 @@ def merge_into_partitions(t: Tables) -> DataFrame:
         F.col("o_totalprice").alias("price"),
         F.col("o_orderkey").alias("seq"),
     )
-    newest = [F.col("seq").desc()]
+    newest = ["seq"]
     merge.upsert_table(rows.where("year < 1998"), path, ["cust", "year"], newest, ["year"])
     raised = rows.where("year >= 1997").withColumn("price", F.col("price") + 1)
     merge.upsert_table(raised, path, ["cust", "year"], newest, ["year"])
@@ -1031,7 +1046,7 @@ def stream_merge(t: Tables) -> DataFrame:
     """Last event per user and type, merged from a file stream."""
     target, marks = scratch_path(t.spark, "last-events"), scratch_path(t.spark, "marks")
     rows = _event_stream(t).select("user_id", "event_type", "event_id", "ts", "value")
-    newest = [F.col("ts").desc(), F.col("event_id").desc()]
+    newest = ["ts", "event_id"]
     ingest.merge_stream(rows, target, marks, ["user_id", "event_type"], newest).awaitTermination()
     return t.spark.read.parquet(target).drop("ts")
 
