@@ -110,28 +110,28 @@ LOCATION_DEFAULT = "Unknown"
 DIMENSION_TEXTS = [
     ("Unclassified", "contains", ["unknown"]),
     ("Standard Format", "starts", ["dimension c"]),
-    ("Fascist Variant", "contains", ["fascist"]),
+    ("Fascist Variant", "contains", ["Fascist"]),
     (
         "Thematic",
         "contains",
         [
-            "magic",
-            "fantasy",
-            "post-apocalyptic",
-            "merged",
-            "evil rick",
-            "testicle",
-            "eric stoltz",
-            "wasp",
-            "phone",
-            "spider",
-            "pizza",
-            "chair",
-            "tusk",
-            "cromulon",
+            "Magic",
+            "Fantasy",
+            "Post-Apocalyptic",
+            "Merged",
+            "Evil Rick",
+            "Testicle",
+            "Eric Stoltz",
+            "Wasp",
+            "Phone",
+            "Spider",
+            "Pizza",
+            "Chair",
+            "Tusk",
+            "Cromulon",
         ],
     ),
-    ("Canonical Named", "contains", ["replacement", "cronenberg"]),
+    ("Canonical Named", "contains", ["Replacement", "Cronenberg"]),
 ]
 DIMENSION_DEFAULT = "Other"
 

@@ -25,8 +25,9 @@ def ordered_selections(
     ``names`` are the output columns of the levels; ``attrs`` are columns of the first row that
     are carried along. Each level after the first is an array step inside the row, so there
     are no self joins. The number of rows out is given by the operator itself (n! / (n - depth)!
-    for n items), so the rows are spread again once the first two levels are known: the
-    many selections of one big group are then produced by many tasks.
+    for n items), and the items of a key, kept in one array, are few compared with it. Before
+    the last levels the rows are spread by the items chosen so far, so the many selections of
+    one big group are produced by many tasks.
     """
     first, *later = names
     # Rows without a key or an item match nothing. They skip the grouping, so that many of
@@ -44,11 +45,12 @@ def ordered_selections(
         .withColumn("__items", F.transform("__rows", lambda r: r[first]))
     )
     level = grouped.select(key, "__items", F.inline("__rows"))
+    parts = spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread_at = min(1, len(later) - 1)
     for depth, name in enumerate(later, start=1):
+        if depth - 1 == spread_at:
+            level = level.repartition(parts, key, *names[:depth])
         chosen = F.array(*[F.col(n) for n in names[:depth]])
         rest = F.when(F.col(names[depth - 1]).isNotNull(), F.array_except("__items", chosen))
         level = level.select("*", F.explode_outer(rest).alias(name))
-        if depth == 1 and len(later) > 1:
-            parts = spread or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            level = level.repartition(parts, key, first, name)
     return level.drop("__items").select(key, *attrs, *names).unionByName(singles)

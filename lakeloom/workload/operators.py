@@ -91,6 +91,27 @@ def envelope_unwrap(t: Tables) -> DataFrame:
     return landing.unwrap(_envelopes(t), "k BIGINT")
 
 
+@query(
+    "overlapping_pages",
+    "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
+)
+def overlapping_pages(t: Tables) -> DataFrame:
+    """Two pages that share their middle; merging by id leaves each order once."""
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus")
+    first = rows.where(F.col("o_orderstatus") != "P").withColumn("page", F.lit(1))
+    second = rows.where(F.col("o_orderstatus") != "F").withColumn("page", F.lit(2))
+    return merge.latest_per_key(first.unionByName(second), ["o_orderkey"], ["page"]).drop("page")
+
+
+@query(
+    "sheet_times",
+    f"""SELECT event_id, CASE WHEN event_type <> 'error' THEN {time_sql('ts')} END AS "DateTime" FROM events""",
+)
+def sheet_times(t: Tables) -> DataFrame:
+    text = F.when(F.col("event_type") == "error", F.concat(F.lit("at "), _text("ts"))).otherwise(_text("ts"))
+    return feeds.stock_ticks(t.events.select("event_id", text.alias("DateTime")))
+
+
 @query(
     "distinct_value_list",
     """SELECT CAST(json_extract(props, '$.k') AS VARCHAR) AS k, count(*) AS uses FROM events
@@ -750,6 +771,20 @@ def scd2_snapshot(t: Tables) -> DataFrame:
     return _priority_history(t).select("o_custkey", "priority", "dbt_valid_from", "dbt_valid_to")
 
 
+@query(
+    "scd2_table",
+    f"""SELECT o_custkey, priority, {time_sql('dbt_valid_from')} AS dbt_valid_from,
+        {time_sql('dbt_valid_to')} AS dbt_valid_to FROM priority_history""",
+)
+def scd2_table(t: Tables) -> DataFrame:
+    """The same runs on a history on disk, where closed rows are not touched again."""
+    path = scratch_path(t.spark, "history")
+    for run_at, state in _segment_states(t):
+        history.snapshot_table(state, path, "o_custkey", ["priority"], run_at)
+    rows = history.read_history(t.spark, path)
+    return rows.select("o_custkey", "priority", "dbt_valid_from", "dbt_valid_to")
+
+
 @query(
     "current_row_join",
     """SELECT o_orderkey, o.o_custkey, priority AS current_priority

@@ -1,6 +1,6 @@
 import pytest
 
-from lakeloom.operators.history import current_rows, snapshot
+from lakeloom.operators.history import current_rows, read_history, run_label, snapshot, snapshot_table
 from lakeloom.session import settle
 from tests.conftest import rows
 
@@ -63,3 +63,47 @@ def test_empty_source_closes_everything(spark):
     h = run(spark, None, [("1", "Mug")], day(1))
     h = run(spark, h, [], day(2))
     assert shown(h) == [("1", "Mug", day(1), day(2))]
+
+
+RUNS = [
+    (day(1), [("1", "Mug"), ("2", "Jar"), ("3", None)]),
+    (day(2), [("1", "Cup"), ("3", None), ("4", "Pot")]),
+    (day(3), [("1", "Mug"), ("2", "Jar"), ("3", "X"), ("4", "Pot")]),
+    (day(4), []),
+    (day(5), [("4", "Pot")]),
+]
+
+
+def test_history_on_disk_equals_history_in_memory(spark, tmp_path):
+    path, memory = str(tmp_path / "h"), None
+    for at, data in RUNS:
+        source = spark.createDataFrame(data, "id string, glass string")
+        for _ in range(2):  # each run is done twice
+            snapshot_table(source, path, "id", ["glass"], at)
+        memory = run(spark, memory, data, at)
+        assert shown(read_history(spark, path)) == shown(memory)
+
+
+def test_history_on_disk_leaves_closed_rows_alone(spark, tmp_path):
+    path = tmp_path / "h"
+    for at, data in RUNS[:3]:
+        snapshot_table(spark.createDataFrame(data, "id string, glass string"), str(path), "id", ["glass"], at)
+    files = {p: p.stat().st_mtime_ns for p in (path / "closed").rglob("*.parquet")}
+    assert files
+    at, data = RUNS[3]
+    snapshot_table(spark.createDataFrame(data, "id string, glass string"), str(path), "id", ["glass"], at)
+    assert all(p.stat().st_mtime_ns == t for p, t in files.items())
+
+
+def test_unfinished_run_does_not_show(spark, tmp_path):
+    path = str(tmp_path / "h")
+    for at, data in RUNS[:2]:
+        snapshot_table(spark.createDataFrame(data, "id string, glass string"), path, "id", ["glass"], at)
+    before = shown(read_history(spark, path))
+    # what a run that died before it was done leaves behind
+    for part in ("open", "closed"):
+        spark.read.parquet(f"{path}/open/run={run_label(day(2))}").write.parquet(f"{path}/{part}/run={run_label(day(3))}")
+    assert shown(read_history(spark, path)) == before
+    at, data = RUNS[2]
+    snapshot_table(spark.createDataFrame(data, "id string, glass string"), path, "id", ["glass"], at)
+    assert {r[0] for r in shown(current_rows(read_history(spark, path)))} == {"1", "2", "3", "4"}

@@ -98,3 +98,16 @@ def test_view_and_empty_input(spark):
     assert S.require_rows(spark.range(1), "t").count() == 1
     with pytest.raises(S.EmptyInput):
         S.require_rows(spark.range(0), "t")
+
+
+def test_listed_puts_nulls_last(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("b", 3), ("b", None)], "k string, n int")
+    assert [tuple(r) for r in S.listed(df, "k", "n").collect()] == [("b", 3), ("b", None), ("a", 1), (None, 2)]
+
+
+def test_publish_sorted(spark, tmp_path):
+    df = spark.createDataFrame([(i % 7,) for i in range(50)], "n int").repartition(3)
+    S.publish(df, str(tmp_path), "base", "s", "1", sort_by=("n",))
+    for part in spark.read.parquet(str(tmp_path / "base" / "s")).rdd.glom().collect():
+        values = [r.n for r in part]
+        assert values == sorted(values)
