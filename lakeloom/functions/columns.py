@@ -161,15 +161,22 @@ def code_number(code: Column | str, start: int, length: int) -> Column:
 def safe_name(text: Column | str) -> Column:
     """Strip white space, drop what is not ASCII, turn other odd characters into '_'."""
     kept = F.regexp_replace(as_col(text), r"[\s\x1c-\x1f[^\x00-\x7f]]+", "")
-    return F.regexp_replace(kept, r"[^A-Za-z0-9_.\-]", "_")
+    return F.regexp_replace(kept, r"[^\w.\-]", "_")
 
 
 # ---------------------------------------------------------------- times
+#
+# The session zone is UTC (see lakeloom.session), so a wall clock and the instant it names in
+# UTC are the same number and casting between the two types costs nothing.
+
+
+def _as_utc(wall: Column | str) -> Column:
+    return as_col(wall).cast("timestamp")
 
 
 def to_local(wall_utc: Column | str, zone: str = V.MELBOURNE) -> Column:
     """Wall clock without zone, read as UTC, shown as the wall clock of ``zone``."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(zone), as_col(wall_utc))
+    return F.from_utc_timestamp(_as_utc(wall_utc), zone).cast("timestamp_ntz")
 
 
 def reinterpret_utc_as(instant: Column | str, zone: str = V.MELBOURNE) -> Column:
@@ -183,7 +190,7 @@ def reinterpret_utc_as(instant: Column | str, zone: str = V.MELBOURNE) -> Column
 def utc_date_of_local_text(text: Column | str, zone: str = V.MELBOURNE) -> Column:
     """Date in UTC of a wall-clock text taken as local to ``zone``."""
     wall = F.to_timestamp_ntz(as_col(text))
-    return F.to_date(F.convert_timezone(F.lit(zone), F.lit("UTC"), wall))
+    return F.to_date(F.to_utc_timestamp(_as_utc(wall), zone))
 
 
 def long_date(text: Column | str) -> Column:
@@ -194,8 +201,7 @@ def long_date(text: Column | str) -> Column:
 def utc_text_of_local_noon(day: Column | str, zone: str = V.SYDNEY) -> Column:
     """ISO text, in UTC, of noon on ``day`` in ``zone``."""
     noon = as_col(day).cast("timestamp_ntz") + F.expr("INTERVAL '12' HOUR")
-    utc = F.convert_timezone(F.lit(zone), F.lit("UTC"), noon)
-    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return F.date_format(F.to_utc_timestamp(_as_utc(noon), zone), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def in_market_hours(wall_utc: Column | str, zone: str = V.SYDNEY) -> Column:
