@@ -14,16 +14,38 @@ from lakeloom.session import settle
 
 
 def price_profile(df: DataFrame, stock: str, price: str, time: str, row_id: str) -> DataFrame:
-    """One row per stock: spread, first and last price in (time, id) order, number of ids.
+    """One row per stock: spread, first price and way to the last in (time, id) order, ids counted.
 
     Rows without a time come last, as they do in the order the measures are defined over.
+
+    Two passes over narrow columns. The first takes plain minima and maxima, which hash
+    aggregation holds in place; ordering by (time, id) there would need sorting. The second
+    only keeps the rows at the first and the last time of their stock, and orders those.
     """
-    when = F.struct(F.col(time).isNull(), F.col(time), F.col(row_id).isNull(), F.col(row_id))
-    return df.groupBy(stock).agg(
-        (F.max(price) - F.min(price)).alias("spread"),
-        F.min_by(price, when).alias("first_price"),
-        F.max_by(price, when).alias("last_price"),
-        F.count(row_id).alias("entries"),
+    bounds = settle(
+        df.groupBy(F.col(stock).alias("__stock")).agg(
+            F.max(price).alias("__high"),
+            F.min(price).alias("__low"),
+            F.count(row_id).alias("entries"),
+            F.min(time).alias("__first"),
+            F.when(F.count_if(F.col(time).isNull()) == 0, F.max(time)).alias("__last"),
+        ),
+        "price-bounds",
+    )
+    edges = bounds.select("__stock", F.explode(F.array("__first", "__last")).alias("__time")).distinct()
+    at_edge = F.col(stock).eqNullSafe(F.col("__stock")) & F.col(time).eqNullSafe(F.col("__time"))
+    order = F.struct(F.col(time).isNull(), F.col(time), F.col(row_id).isNull(), F.col(row_id))
+    ends = (
+        df.join(edges, at_edge, "left_semi")
+        .groupBy(F.col(stock).alias("__ticker"))
+        .agg(F.min_by(price, order).alias("first_price"), F.max_by(price, order).alias("last_price"))
+    )
+    return bounds.join(ends, F.col("__stock").eqNullSafe(F.col("__ticker")), "left").select(
+        F.col("__stock").alias(stock),
+        round_money(F.col("__high") - F.col("__low")).alias("spread"),
+        round_money(F.col("last_price") - F.col("first_price")).alias("first_to_last"),
+        "first_price",
+        "entries",
     )
 
 
@@ -47,9 +69,9 @@ def price_movement(
     joined = df.join(stats, F.col(stock).eqNullSafe(F.col("__stock")), "left")
     return joined.select(
         *[df[c] for c in df.columns],
-        round_money("spread").alias("price_spread"),
+        F.col("spread").alias("price_spread"),
         round_money(F.col(price) - F.col("first_price")).alias("relative_price_movement"),
-        round_money(F.col("last_price") - F.col("first_price")).alias("abs_price_movement"),
+        F.col("first_to_last").alias("abs_price_movement"),
         F.col("entries").alias("num_stock_entries"),
     )
 
