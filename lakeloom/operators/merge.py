@@ -41,9 +41,20 @@ def merge_by_key(
     return anti_join(target, latest, keys).unionByName(latest, allowMissingColumns=True)
 
 
-def new_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Source rows whose key the target does not hold yet; rows without a key always pass."""
-    return source if target is None else anti_join(source, target, keys)
+def new_rows(
+    target: DataFrame | None, source: DataFrame, keys: Sequence[str], few: bool = False
+) -> DataFrame:
+    """Source rows whose key the target does not hold yet; rows without a key always pass.
+
+    Set ``few`` if the source is a batch that is small beside the target. The target is then
+    first reduced to the keys of the batch, which Spark can do by broadcasting them, so that a
+    large target is scanned but not shuffled.
+    """
+    if target is None:
+        return source
+    if few:
+        target = target.select(*keys).join(source.select(*keys).distinct(), list(keys), "left_semi")
+    return anti_join(source, target, keys)
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
@@ -69,6 +80,34 @@ def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     append_table(new_rows(target, df, keys), path)
 
 
+#: Up to this many touched partitions are named in a filter when a table is merged into.
+NAMED_PARTITIONS = 10_000
+
+
+def _touched_partitions(target: DataFrame, latest: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The rows of ``target`` in partitions that ``latest`` has rows for.
+
+    Their values are put into a filter, so the other partitions are not even listed for reading.
+    There are at most as many as directories the write will touch; beyond the limit the join
+    alone decides.
+    """
+    typed = target.withColumns(
+        {
+            c: F.col(c).cast(latest.schema[c].dataType)
+            for c in partition_by
+            if target.schema[c].dataType != latest.schema[c].dataType
+        }
+    )
+    touched = latest.select(*partition_by).distinct()
+    named = touched.limit(NAMED_PARTITIONS + 1).collect()
+    if len(named) <= NAMED_PARTITIONS:
+        for i, c in enumerate(partition_by):
+            values = {row[i] for row in named}
+            known = F.col(c).isin([v for v in values if v is not None])
+            typed = typed.where(known | F.col(c).isNull() if None in values else known)
+    return typed.join(touched, null_safe_on(typed, touched, partition_by), "left_semi")
+
+
 def upsert_table(
     updates: DataFrame,
     path: str,
@@ -89,8 +128,7 @@ def upsert_table(
     latest = settle(latest_per_key(updates, keys, newest_first), "updates")
     target = read_if_exists(updates.sparkSession, path)
     if target is not None and partition_by:
-        touched = latest.select(*partition_by).distinct()
-        target = target.join(touched, null_safe_on(target, touched, partition_by), "left_semi")
+        target = _touched_partitions(target, latest, partition_by)
     if target is None:
         merged = latest
     else:

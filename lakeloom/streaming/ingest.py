@@ -20,6 +20,7 @@ from lakeloom.operators.merge import (
     replace_table,
     upsert_table,
 )
+from lakeloom.session import settle
 
 
 def landing_stream(
@@ -88,8 +89,8 @@ def append_stream(
         if stored is not None:
             stored = stored.where(F.col("load_batch") != batch_id)
         no_key = any_of([F.col(k).isNull() for k in keys])
-        once = latest_per_key(batch.where(~no_key), keys, newest_first)
-        fresh = new_rows(stored, once, keys).unionByName(batch.where(no_key))
+        once = settle(latest_per_key(batch.where(~no_key), keys, newest_first), "micro-batch")
+        fresh = new_rows(stored, once, keys, few=True).unionByName(batch.where(no_key))
         replace_table(fresh, f"{target}/load_batch={batch_id}")
 
     return _start(stream.writeStream.foreachBatch(append), checkpoint, available_now, interval)

@@ -94,12 +94,12 @@ def runnable(plan: Plan) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def six(column) -> F.Column:
-    """Six decimals, rounded through decimal: sums of doubles depend on their order."""
-    return column.cast("decimal(28,6)").cast("double")
+    """Six decimals: sums of doubles differ in their last digits with the order of adding."""
+    return F.floor(column * 1e6 + 0.5) / 1e6
 
 
 def six_sql(expression: str) -> str:
-    return f"CAST(CAST({expression} AS DECIMAL(28,6)) AS DOUBLE)"
+    return f"floor(({expression}) * CAST(1e6 AS DOUBLE) + CAST(0.5 AS DOUBLE)) / CAST(1e6 AS DOUBLE)"
 
 
 def key_sql(*columns: str) -> str:

@@ -92,6 +92,41 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_path):
     assert rows(spark.read.parquet(str(path)).select("y", "v")) == [(2023, "a"), (2024, "c")]
 
 
+def test_upsert_reads_only_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "y int, c string, k int, v string, seq int"
+    data = [(y, c, 1, "a", 1) for y in (2023, 2024, None) for c in ("1", "2")]
+    merge.upsert_table(frame(spark, data, schema), path, ["y", "c", "k"], NEWEST, ["y", "c"])
+    updates = frame(spark, [(None, "1", 1, "n", 2), (2024, "2", 1, "b", 2)], schema)
+    rest = merge._touched_partitions(spark.read.parquet(path), updates, ["y", "c"])
+    assert rows(rest.select("y", "c")) == [(2024, "2"), (None, "1")]
+    assert "PartitionFilters: [" in plan_text(rest) and "y#" in plan_text(rest).split("PartitionFilters: [")[1].split("]")[0]
+    merge.upsert_table(updates, path, ["y", "c", "k"], NEWEST, ["y", "c"])
+    got = rows(spark.read.parquet(path).selectExpr("y", "string(c)", "v"))
+    assert got == sorted(
+        [(2023, "1", "a"), (2023, "2", "a"), (2024, "1", "a"), (2024, "2", "b"), (None, "1", "a"), (None, "1", "n"), (None, "2", "a")],
+        key=repr,
+    )
+
+
+def test_more_touched_partitions_than_are_named(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(merge, "NAMED_PARTITIONS", 1)
+    path, schema = str(tmp_path / "t"), "y int, k int, v string, seq int"
+    merge.upsert_table(frame(spark, [(y, 1, "a", 1) for y in range(4)], schema), path, ["y", "k"], NEWEST, ["y"])
+    merge.upsert_table(frame(spark, [(y, 1, "b", 2) for y in range(2)], schema), path, ["y", "k"], NEWEST, ["y"])
+    assert rows(spark.read.parquet(path).select("y", "v")) == [(0, "b"), (1, "b"), (2, "a"), (3, "a")]
+
+
+def test_new_rows_of_a_small_batch_do_not_shuffle_the_target(spark, tmp_path):
+    spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("v")).write.parquet(str(tmp_path / "target"))
+    spark.range(95, 105).select(F.col("id").alias("k"), F.lit("y").alias("v")).write.parquet(str(tmp_path / "batch"))
+    target, batch = (spark.read.parquet(str(tmp_path / n)) for n in ("target", "batch"))
+    got = merge.new_rows(target, batch, ["k"], few=True)
+    assert rows(got.select("k")) == [(k,) for k in range(100, 105)]
+    text = plan_text(merge.new_rows(target, batch, ["k"], few=True))
+    assert "LeftSemi, BuildRight" in text and "SortMergeJoin" not in text
+
+
 def test_upsert_without_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     for run in ([(1, "a", 1)], [(1, "b", 2), (2, "c", 2)], [(1, "b", 2)]):
