@@ -46,13 +46,16 @@ def base_beverage_consumption(beverage_fact_data: DataFrame) -> DataFrame:
     )
 
 
-def glass_type_snapshot(history: DataFrame | None, glass_table: DataFrame, run_at: str) -> DataFrame:
-    source = glass_table.select(
+def glass_types(glass_table: DataFrame) -> DataFrame:
+    return glass_table.select(
         F.col("idDrink").alias("beverage_id"),
         F.col("source_glass").alias("glass_type"),
         surrogate_key("source_glass").alias("glass_type_sk"),
     )
-    return snapshot(history, source, "beverage_id", ["glass_type"], run_at)
+
+
+def glass_type_snapshot(history: DataFrame | None, glass_table: DataFrame, run_at: str) -> DataFrame:
+    return snapshot(history, glass_types(glass_table), "beverage_id", ["glass_type"], run_at)
 
 
 def staging_beverage_lookup(beverages: DataFrame) -> DataFrame:
