@@ -19,6 +19,10 @@ def _text(c: str):
     return F.col(c).cast("string")
 
 
+def _at(day: str):
+    return F.lit(day).cast("timestamp_ntz")
+
+
 # ================================================================ readers
 
 
@@ -485,7 +489,11 @@ def iso_texts(t: Tables) -> DataFrame:
             ON o_custkey = c_custkey""",
 )
 def grouped_counts_join(t: Tables) -> DataFrame:
-    urgent = t.orders.where((F.col("o_orderpriority") == "1-URGENT") & (F.year("o_orderdate") == 1995))
+    urgent = t.orders.where(
+        (F.col("o_orderpriority") == "1-URGENT")
+        & (F.col("o_orderdate") >= _at("1995-01-01"))
+        & (F.col("o_orderdate") < _at("1996-01-01"))
+    )
     children = urgent.withColumnRenamed("o_custkey", "c_custkey")
     parents = t.customer.select("c_custkey", "c_name")
     return joins.attach_counts(parents, children, "c_custkey", "o_orderpriority", "n_urgent")
@@ -634,9 +642,9 @@ def _stored_and_updates(t: Tables) -> tuple[DataFrame, DataFrame]:
         F.col("o_orderkey").alias("seq"),
     ]
     stored = merge.latest_per_key(
-        t.orders.where(F.year("o_orderdate") < 1998).select(*cols), ["cust", "day"], ["seq"]
+        t.orders.where(F.col("o_orderdate") < _at("1998-01-01")).select(*cols), ["cust", "day"], ["seq"]
     )
-    updates = t.orders.where(F.year("o_orderdate") >= 1997).select(*cols)
+    updates = t.orders.where(F.col("o_orderdate") >= _at("1997-01-01")).select(*cols)
     return stored, updates.withColumn("price", F.col("price") + 1)
 
 
@@ -725,7 +733,7 @@ def _segment_states(t: Tables) -> list[tuple[str, DataFrame]]:
     states = []
     for until in ("1997-01-01", "1999-01-01", "2001-01-01", "2001-06-01"):
         span = t.orders.where(
-            (F.col("o_orderdate") < F.lit(until).cast("timestamp_ntz"))
+            (F.col("o_orderdate") < _at(until))
             & (F.col("o_orderdate") >= F.add_months(F.lit(until).cast("date"), -4).cast("timestamp_ntz"))
         )
         last = F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey"))
@@ -1026,7 +1034,7 @@ def loaded_range(t: Tables) -> DataFrame:
         FROM (SELECT o_custkey, max(o_orderdate) AS newest FROM orders GROUP BY 1)""",
 )
 def freshness(t: Tables) -> DataFrame:
-    as_of = F.lit("2001-08-10 00:00:00").cast("timestamp_ntz")
+    as_of = _at("2001-08-10")
     return planning.freshness(t.orders, "o_orderdate", as_of, 90, 365, by=["o_custkey"])
 
 
