@@ -32,7 +32,9 @@ def anti_join(
     # Always 0, but not a literal: the optimizer would turn a literal into a filter on the left
     # side and drop the column from the join keys.
     zero = F.pmod(F.xxhash64(*keys), F.lit(1))
-    seen = (seen.distinct() if repeated else seen).withColumn("__spread", zero.cast("long"))
+    seen = seen.withColumn("__spread", zero.cast("long"))
+    if repeated:
+        seen = seen.distinct()  # grouped by the join keys, so the join needs no other shuffle
     return (
         left.withColumn("__spread", spread.cast("long"))
         .join(seen, [*keys, "__spread"], "left_anti")

@@ -54,7 +54,7 @@ def new_rows(
         return source
     if few:
         target = target.select(*keys).join(source.select(*keys).distinct(), list(keys), "left_semi")
-    return anti_join(source, target, keys)
+    return anti_join(source, target, keys, repeated=True)
 
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:

@@ -87,22 +87,24 @@ def trailing(
     carry: Sequence[str],
     measures: Callable[[WindowSpec, WindowSpec], dict[str, Column]],
     rows: int,
-    slice_by: Column,
+    slice_by: Column | Sequence[Column],
     whole_up_to: int | None = WHOLE_KEY_ROWS,
 ) -> DataFrame:
     """Row-based trailing window in which large keys are cut into slices along the order.
 
     A plain window sorts a whole key in one task. Keys with more than ``whole_up_to`` rows are
-    worked on slice by slice instead, for example one city and year at a time; ``slice_by``
-    must not decrease along ``order``. Which keys are large is counted first, over the key
-    columns alone. With ``None`` nothing is counted and every key is sliced.
+    worked on slice by slice instead, for example one city and year at a time. Of several
+    ``slice_by``, from coarse to fine, the first is taken whose slices stay within
+    ``whole_up_to`` rows; none may decrease along ``order``. Both are found by counting the key
+    columns first. With ``None`` nothing is counted and every key is cut into the first slices.
 
     ``measures(frame, ordered)`` gets the trailing frame and the plain ordered window (for
     ``lag``) and returns the new columns; ``carry`` names the columns they read. ``order`` has
     to be total within a key.
     """
+    slicings = [slice_by] if isinstance(slice_by, Column) else list(slice_by)
     if whole_up_to is None:
-        return _sliced(df, F.lit(True), slice_by, keys, order, carry, measures, rows)
+        return _sliced(df, F.lit(True), slicings[0], keys, order, carry, measures, rows)
     # At most (rows of the table / whole_up_to) keys can be large.
     large = settle(
         df.groupBy(*keys).count().where(F.col("count") > whole_up_to).select(*keys), "large-keys"
@@ -116,7 +118,19 @@ def trailing(
         "left",
     ).drop(*[f"__{k}" for k in keys])
     is_large = F.coalesce("__is_large", F.lit(False))
-    return _sliced(flagged, is_large, slice_by, keys, order, carry, measures, rows).drop("__is_large")
+    fitting = _fitting_slices(flagged.where(is_large), keys, slicings, whole_up_to)
+    return _sliced(flagged, is_large, fitting, keys, order, carry, measures, rows).drop("__is_large")
+
+
+def _fitting_slices(
+    df: DataFrame, keys: Sequence[str], slicings: Sequence[Column], limit: int
+) -> Column:
+    """The first slicing with no more than ``limit`` rows in any slice, else the finest."""
+    for slicing in slicings[:-1]:
+        sizes = df.groupBy(*keys, slicing.alias("__slice")).count()
+        if sizes.agg(F.max("count")).head()[0] <= limit:
+            return slicing
+    return slicings[-1]
 
 
 def _sliced(

@@ -78,7 +78,7 @@ def base_uv(uv_index: DataFrame) -> DataFrame:
 def staging_weather(weather: DataFrame) -> DataFrame:
     """Daily weather against the mean of the last fourteen rows of its city.
 
-    A city with a very long or dense record is worked on year by year.
+    A city with a very long or dense record is worked on by year, month or day.
     """
 
     def measures(frame, ordered) -> dict[str, Column]:
@@ -99,7 +99,7 @@ def staging_weather(weather: DataFrame) -> DataFrame:
         carry=["temperature_mean", "precipitation_sum"],
         measures=measures,
         rows=V.TRAILING_ROWS,
-        slice_by=F.year("weather_date"),
+        slice_by=[F.trunc("weather_date", unit) for unit in ("year", "month")] + [F.col("weather_date")],
     )
     return rows.select(
         "weather_date",

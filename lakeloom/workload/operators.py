@@ -592,7 +592,7 @@ def rolling_anomaly(t: Tables) -> DataFrame:
                f AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)""",
 )
 def rolling_ticks(t: Tables) -> DataFrame:
-    """Single ticks of five types, so each type holds a large share; worked on day by day."""
+    """Single ticks of five types, so each type holds a large share and is worked on in slices."""
 
     def measures(frame, ordered):
         value = F.col("value")
@@ -606,8 +606,8 @@ def rolling_ticks(t: Tables) -> DataFrame:
         ["value"],
         measures,
         V.TRAILING_ROWS,
-        slice_by=F.to_date("ts"),
-        whole_up_to=None,
+        slice_by=[F.date_trunc(unit, "ts") for unit in ("day", "hour", "minute", "second")],
+        whole_up_to=1000,
     )
     return rows.select("event_id", "event_type", six(F.col("trailing_avg")).alias("trailing_avg"), six(F.col("change")).alias("change"))
 

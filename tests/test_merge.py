@@ -55,6 +55,13 @@ def test_rows_without_key_are_spread(spark, settings):
     assert max(sizes) < 2000, sizes
 
 
+def test_repeated_keys_are_grouped_by_the_join_keys(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    left = spark.createDataFrame([(1,), (None,)], "k int")
+    text = plan_text(joins.anti_join(left, left, ["k"], repeated=True))
+    assert text.count("Exchange hashpartitioning(k") == 2  # one per side
+
+
 def test_anti_join_over_two_keys(spark):
     left = spark.createDataFrame([(1, 1), (1, 2), (1, None), (None, None)], "a int, b int")
     right = spark.createDataFrame([(1, 1), (1, 1), (1, None)], "a int, b int")

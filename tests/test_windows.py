@@ -64,6 +64,29 @@ def test_trailing_equals_brute_force(spark, whole_up_to, size):
     assert [r[2] for r in have] == pytest.approx([r[2] for r in want])
 
 
+def test_slices_get_finer_until_they_fit(spark):
+    data = series(3)
+    df = spark.createDataFrame(data, SCHEMA)
+    slicings = [F.trunc("day", "year"), F.trunc("day", "month"), F.col("day")]
+    sizes = {
+        str(c): max(n for (_, slot), n in _slots(df, c).items()) for c in slicings
+    }
+    year, month, _ = sizes.values()
+    assert year > month
+    pick = lambda limit: str(W._fitting_slices(df, ["key"], slicings, limit))
+    assert pick(year) == str(slicings[0])
+    assert pick(month) == str(slicings[1])
+    assert pick(1) == str(slicings[2])
+    got = W.trailing(df, ["key"], ["day", "seq"], ["v"], measures, 14, slicings, 60)
+    assert [r[:2] + r[3:] for r in rows(got.select("key", "seq", "mean", "n", "step"))] == [
+        r[:2] + r[3:] for r in brute(data, 14)
+    ]
+
+
+def _slots(df, slicing):
+    return {(r.key, r.slot): r["count"] for r in df.groupBy("key", slicing.alias("slot")).count().collect()}
+
+
 def test_trailing_of_nothing(spark):
     df = spark.createDataFrame([], SCHEMA)
     got = W.trailing(df, ["key"], ["day", "seq"], ["v"], measures, 14, F.trunc("day", "month"), None)
