@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import multi_index, re_pair, sum_squares
+from lakeloom.llm import multi_index, re_pair, sum_squares, syncmers, warc
 from lakeloom.llm.shared import table
 from lakeloom.llm.tokens import default_tokenizer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op3_re_pair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return re_pair.round_trip(table(spark, sf_dir, "documents"), default_tokenizer())
 
@@ -25,8 +29,13 @@ def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sum_squares.pack(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op10_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.round_trip(table(spark, sf_dir, "pages"), revisit_bytes=0)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op3_re_pair_ids, op8_multi_index_simhash, op9_sum_of_squares_packing)
+    f.__name__: f for f in (op1_closed_syncmers, op3_re_pair_ids, op8_multi_index_simhash, op9_sum_of_squares_packing, op10_sharded_warc)
 }
 
 SQL: dict[str, str] = {}
