@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import multi_index, re_pair, sum_squares, syncmers, warc
+from lakeloom.llm import importance, multi_index, re_pair, sum_squares, syncmers, warc, zstd_language
 from lakeloom.llm.shared import table
 from lakeloom.llm.tokens import default_tokenizer
 
@@ -17,10 +17,18 @@ def op1_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op2_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_re_pair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return re_pair.round_trip(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op6_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zstd_language.predict(table(spark, sf_dir, "documents"))
+
+
 def op8_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_copies(table(spark, sf_dir, "documents"))
 
@@ -35,7 +43,7 @@ def op10_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_closed_syncmers, op3_re_pair_ids, op8_multi_index_simhash, op9_sum_of_squares_packing, op10_sharded_warc)
+    f.__name__: f for f in (op1_closed_syncmers, op2_importance_resampling, op3_re_pair_ids, op6_zstd_language, op8_multi_index_simhash, op9_sum_of_squares_packing, op10_sharded_warc)
 }
 
 SQL: dict[str, str] = {}
