@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeloom.llm import importance, multi_index, re_pair, sum_squares, syncmers, warc, zstd_language
+from lakeloom.llm import importance, multi_index, nn_descent, re_pair, sum_squares, syncmers, warc, zstd_language
 from lakeloom.llm.shared import table
 from lakeloom.llm.tokens import default_tokenizer
 
@@ -25,6 +26,10 @@ def op3_re_pair_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return re_pair.round_trip(table(spark, sf_dir, "documents"), default_tokenizer())
 
 
+def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zstd_language.predict(table(spark, sf_dir, "documents"))
 
@@ -43,7 +48,7 @@ def op10_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_closed_syncmers, op2_importance_resampling, op3_re_pair_ids, op6_zstd_language, op8_multi_index_simhash, op9_sum_of_squares_packing, op10_sharded_warc)
+    f.__name__: f for f in (op1_closed_syncmers, op2_importance_resampling, op3_re_pair_ids, op4_nn_descent, op6_zstd_language, op8_multi_index_simhash, op9_sum_of_squares_packing, op10_sharded_warc)
 }
 
 SQL: dict[str, str] = {}

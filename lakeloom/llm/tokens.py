@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: distinct words kept per worker before the memory is given back
-REMEMBERED = 1_500_000
+REMEMBERED = 800_000
 
 #: letters that are single code points in NFC, and punctuation that cannot begin a contraction
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
