@@ -9,7 +9,6 @@ the letters and then of the punctuation; every other word is encoded as it stand
 from __future__ import annotations
 
 import functools
-import itertools
 import re
 
 import numpy as np
@@ -17,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: distinct words kept per worker before the memory is given back
-REMEMBERED = 800_000
+REMEMBERED = 600_000
 
 #: letters that are single code points in NFC, and punctuation that cannot begin a contraction
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
@@ -49,7 +48,7 @@ class WordIds:
 
     def _clear(self) -> None:
         self.code: dict[str, int] = {}
-        self.part: dict[str, list[int]] = {"": []}
+        self.part: dict[str, bytes] = {"": b""}
         self.flat = np.zeros(1 << 16, dtype=np.uint32)
         self.used = 0
         self.start = np.zeros(1 << 16, dtype=np.int64)
@@ -60,11 +59,9 @@ class WordIds:
         for at in range(0, len(wanted), 400):
             some = wanted[at : at + 400]
             found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, owner = found.ids, found.word_ids
-            lists: list[list[int]] = [[] for _ in some]
-            for word, one in zip(owner, ids):
-                lists[word].append(one)
-            self.part.update(zip(some, lists))
+            ids = np.array(found.ids, dtype=np.uint32).tobytes()
+            cuts = (4 * np.searchsorted(np.array(found.word_ids), np.arange(len(some) + 1))).tolist()
+            self.part.update(zip(some, (ids[x:y] for x, y in zip(cuts, cuts[1:]))))
 
     def _learn(self, words: list[str]) -> None:
         split = []
@@ -86,14 +83,14 @@ class WordIds:
         lists = []
         for pieces in split:
             if pieces is None:
-                lists.append(next(encoded).ids)
+                lists.append(np.array(next(encoded).ids, dtype=np.uint32).tobytes())
                 continue
             core, tail = pieces
             if tail not in part:
-                part[tail] = self.tokenizer.encode(tail, add_special_tokens=False).ids
+                part[tail] = np.array(self.tokenizer.encode(tail, add_special_tokens=False).ids, np.uint32).tobytes()
             lists.append(part[core] + part[tail] if tail else part[core])
-        size = np.fromiter(map(len, lists), dtype=np.int32, count=len(lists))
-        flat = np.fromiter(itertools.chain.from_iterable(lists), dtype=np.uint32, count=int(size.sum()))
+        size = np.fromiter(map(len, lists), dtype=np.int32, count=len(lists)) // 4
+        flat = np.frombuffer(b"".join(lists), dtype=np.uint32)
         n = len(self.code) - len(words)
         self.flat = _room(self.flat, self.used + len(flat))
         self.flat[self.used : self.used + len(flat)] = flat
