@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import importance, multi_index, nn_descent, re_pair, sum_squares, syncmers, warc, zstd_language
+from lakeloom.llm import importance, main_region, multi_index, nn_descent, raking, re_pair, sum_squares, syncmers, warc, zstd_language
 from lakeloom.llm.shared import table
 from lakeloom.llm.tokens import default_tokenizer
 
@@ -30,10 +30,18 @@ def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nn_descent.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op5_main_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_region.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zstd_language.predict(table(spark, sf_dir, "documents"))
 
 
+def op7_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raking.mix(table(spark, sf_dir, "documents"))
+
+
 def op8_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.near_copies(table(spark, sf_dir, "documents"))
 
@@ -48,7 +56,19 @@ def op10_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_closed_syncmers, op2_importance_resampling, op3_re_pair_ids, op4_nn_descent, op6_zstd_language, op8_multi_index_simhash, op9_sum_of_squares_packing, op10_sharded_warc)
+    f.__name__: f
+    for f in (
+        op1_closed_syncmers,
+        op2_importance_resampling,
+        op3_re_pair_ids,
+        op4_nn_descent,
+        op5_main_region,
+        op6_zstd_language,
+        op7_raked_mixing,
+        op8_multi_index_simhash,
+        op9_sum_of_squares_packing,
+        op10_sharded_warc,
+    )
 }
 
 SQL: dict[str, str] = {}
