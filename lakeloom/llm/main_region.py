@@ -59,7 +59,9 @@ _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: words outside a marked article, and within one
 OUTSIDE, WITHIN = -2.0, 3.0
 #: words of boilerplate
-BOILED = -3.0
+BOILED = -0.3
+#: a tag whose weight is not known; the least that a tag and a word can weigh
+TAG, LEAST_TAG, LEAST_WORD = -0.2, -0.5, 0.1
 #: a feature must have been seen so often to have a weight
 SEEN = 30
 MOST_FEATURES = 5000
@@ -251,14 +253,14 @@ def main_text(page: Page, weights: Mapping[str, float]) -> str:
     for i, event in enumerate(page.events):
         if isinstance(event, Block):
             known = [weights[f] for f in event.features if f in weights]
-            score = 1.0 + (sum(known) / len(known) if known else 0.0)
+            score = max(LEAST_WORD, 1.0 + (sum(known) / len(known) if known else 0.0))
             if event.boiled:
                 score = BOILED
             elif page.article:
                 score += WITHIN if event.article else OUTSIDE
             total += score * event.words
         else:
-            total += min(-0.05, weights.get(f"tag {event}", -0.5))
+            total += min(-0.05, weights.get(f"tag {event}", TAG))
         if total <= 0:
             total, begin = 0.0, i + 1
         elif total > best:
@@ -270,7 +272,7 @@ def main_text(page: Page, weights: Mapping[str, float]) -> str:
 def learn(pages: DataFrame, html_column: str = "html") -> dict[str, float]:
     """Weights of the features of words and tags, counted over all pages that mark an article.
 
-    A weight is the log of how much more often a feature is seen inside than outside, at most 2
+    A weight is the log of how much more often a feature is seen inside than outside, at most 1
     either way; a tag's is below zero. The driver gets ``MOST_FEATURES`` numbers at most.
     """
 
@@ -304,8 +306,8 @@ def learn(pages: DataFrame, html_column: str = "html") -> dict[str, float]:
     weights = {}
     for feature, a, b in found:
         all_in, all_out = totals[feature.startswith("tag ")]
-        odds = max(-2.0, min(2.0, math.log((a + 1) / all_in) - math.log((b + 1) / all_out)))
-        weights[feature] = min(-0.05, odds) if feature.startswith("tag ") else odds
+        odds = max(-1.0, min(1.0, math.log((a + 1) / all_in) - math.log((b + 1) / all_out)))
+        weights[feature] = min(-0.05, max(LEAST_TAG, odds)) if feature.startswith("tag ") else odds
     return weights
 
 
