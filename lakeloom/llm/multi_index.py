@@ -12,12 +12,11 @@ fingerprints. Both ways are exact, so no link is lost and no row depends on the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
 import numpy as np
-import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.components import components
@@ -49,21 +48,19 @@ def simhash(text: str | None, words: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
-    """(doc_id, bits): bits is the fingerprint as a signed long."""
-    kept = docs.select(col(doc_id).alias("doc_id"), col(text).cast("string").alias("text"))
+def fingerprints(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, kept: Sequence[Column] = ()
+) -> DataFrame:
+    """(doc_id, bits), and more columns to be kept: bits is the fingerprint as a signed long."""
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bits = np.fromiter(
-                (simhash(t, words) for t in batch.column(1).to_pylist()), dtype=np.uint64, count=batch.num_rows
-            )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(bits.view(np.int64))], names=["doc_id", "bits"]
-            )
+    @F.pandas_udf("long")
+    def hashed(texts):
+        import pandas as pd
+
+        bits = np.fromiter((simhash(t, words) for t in texts), dtype=np.uint64, count=len(texts))
+        return pd.Series(bits.view(np.int64))
 
-    kind = kept.schema["doc_id"].dataType.simpleString()
-    return kept.mapInArrow(hashed, f"doc_id {kind}, bits long")
+    return docs.select(col(doc_id).alias("doc_id"), hashed(col(text).cast("string")).alias("bits"), *kept)
 
 
 def _segments(segments: int) -> list[tuple[int, int]]:
@@ -142,6 +139,17 @@ def links(bits: DataFrame, distance: int = 2, segments: int = 2, crowded: int =
     return met.union(halfway).distinct()
 
 
+def _labels(marked: DataFrame, distance: int) -> DataFrame:
+    """(bits, root, first): the component of each fingerprint, and its smallest doc_id."""
+    firsts = settle(marked.groupBy("bits").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
+    roots = settle(components(links(firsts.select("bits"), distance)), "components")
+    named = firsts.join(roots, firsts["bits"] == roots["node"], "left").select(
+        firsts["bits"], "first", F.coalesce("root", firsts["bits"]).alias("root")
+    )
+    ids = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    return named.drop("first").join(ids, "root").select("bits", "root", "component_id")
+
+
 def near_copies(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, distance: int = 2
 ) -> DataFrame:
@@ -153,13 +161,34 @@ def near_copies(
     all rows of a component lack one). Repeated rows stay repeated; an empty table gives none.
     """
     marked = settle(fingerprints(docs, doc_id, text, words), "fingerprints")
-    firsts = settle(marked.groupBy("bits").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
-    roots = settle(components(links(firsts.select("bits"), distance)), "components")
-    named = firsts.join(roots, firsts["bits"] == roots["node"], "left").select(
-        firsts["bits"], "first", F.coalesce("root", firsts["bits"]).alias("root")
-    )
-    ids = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = named.join(ids, "root").select("bits", "component_id")
-    return marked.join(labels, "bits", "left").select(
+    return marked.join(_labels(marked, distance), "bits", "left").select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3, distance: int = 2
+) -> DataFrame:
+    """The rows of ``docs`` with one of each component: that of the smallest doc_id.
+
+    Rows without a doc_id stay only where a component has no other; of rows that repeat an id the
+    one whose text has the smallest hash stays, of rows that repeat both any one.
+    """
+    mark = F.xxhash64(F.coalesce(col(text).cast("string"), F.lit("")))
+    marked = settle(
+        fingerprints(docs, doc_id, text, words, kept=[mark.alias("mark")]), "fingerprints"
+    )
+    best = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")
+    chosen = (
+        marked.join(_labels(marked, distance), "bits").groupBy("root").agg(F.min(best).alias("best"))
+    ).select(F.coalesce("best.doc_id", F.lit(0)).alias("chosen_id"), "best.nameless", "best.mark")
+    rows = docs.select(
+        F.struct(*[col(c) for c in docs.columns]).alias("document"),
+        F.coalesce(col(doc_id), F.lit(0)).alias("chosen_id"),
+        col(doc_id).isNull().alias("nameless"),
+        mark.alias("mark"),
+    )
+    # repeats leave before the shuffle, and the join finds the rows where this put them
+    first = Window.partitionBy("chosen_id", "nameless", "mark").orderBy("mark")
+    rows = rows.withColumn("place", F.row_number().over(first)).filter("place = 1")
+    return rows.join(chosen, ["chosen_id", "nameless", "mark"], "left_semi").select("document.*")
