@@ -71,4 +71,22 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-SQL: dict[str, str] = {}
+#: SHA-1 in base32: each five hexadecimal digits are four characters
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_DIGEST = f"""list_aggregate(flatten(list_transform(range(8), lambda i: list_transform(range(4), lambda j:
+    substr('{_BASE32}', CAST(((('0x' || substr(hash, 5 * i + 1, 5))::BIGINT >> (15 - 5 * j)) & 31) + 1 AS BIGINT), 1)
+))), 'string_agg', '')"""
+
+SQL: dict[str, str] = {
+    "op10_sharded_warc": f"""
+        WITH hashed AS (
+            SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hash FROM pages
+        ), answers AS (SELECT hash, max(page_id) AS response FROM hashed GROUP BY hash)
+        SELECT page_id,
+            CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+            {_DIGEST} AS payload_digest,
+            CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id = response THEN NULL ELSE response END AS refers_to
+        FROM hashed JOIN answers USING (hash)
+    """,
+}
