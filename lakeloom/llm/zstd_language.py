@@ -53,13 +53,22 @@ def learn(
 ) -> dict[str, bytes]:
     """Dictionary of each non-null language, the most common first, from a bounded sample of texts.
 
-    The sample is the texts of smallest hash, cut only where the dictionary is full; the driver
+    The sample is the distinct texts of smallest hash, cut only where the dictionary is full; the driver
     holds ``dictionary_bytes`` for each language.
     """
     known = labelled.select(col(lang).cast("string").alias("lang"), col(text).cast("string").alias("text"))
     known = known.filter("lang is not null and text is not null")
-    ranked = known.withColumn(
-        "place", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))
+    common = sorted((-r[1], r[0]) for r in known.groupBy("lang").count().collect())
+    # hashes are even, so a share of them holds the smallest; copies of a text count once
+    share = F.lit(1.0)
+    for n, name in common:
+        share = F.when(F.col("lang") == name, F.lit(min(1.0, 8 * sample_texts / -n))).otherwise(share)
+    few = known.withColumn("mark", F.xxhash64("text")).filter(
+        F.shiftrightunsigned("mark", 11) / F.lit(float(1 << 53)) < share
+    )
+    few = few.groupBy("lang", "mark").agg(F.min("text").alias("text"))
+    ranked = few.withColumn(
+        "place", F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("mark", 11), "mark"))
     ).filter(F.col("place") <= sample_texts)
     # no more text leaves a task than the dictionary can hold
     before = Window.partitionBy("lang").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
@@ -71,8 +80,7 @@ def learn(
     texts: dict[str, list[bytes]] = {}
     for name, _, sample in sorted(tuple(r) for r in taken.collect()):
         texts.setdefault(name, []).append(plain(sample))
-    common = sorted((-r[1], r[0]) for r in known.groupBy("lang").count().collect())
-    joined = {name: b" ".join(dict.fromkeys(texts[name]))[:dictionary_bytes] for _, name in common}
+    joined = {name: b" ".join(dict.fromkeys(texts[name]))[:dictionary_bytes] for _, name in common if name in texts}
     return {name: content for name, content in joined.items() if content}
 
 
