@@ -10,8 +10,9 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeloom.functions import fixed_values as V
 
@@ -227,3 +228,13 @@ def local_day_before(as_of: Column | str, days: int, zone: str = V.SYDNEY) -> Co
 def round_money(c: Column | str, digits: int = 2) -> Column:
     """Round through decimal, so that engines agree on halves."""
     return F.round(as_col(c).cast("decimal(38,10)"), digits)
+
+
+def content_hash(df: DataFrame) -> Column:
+    """Hash of all columns of a row; maps, which have no hash of their own, go in as text."""
+
+    def hashable(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        return F.to_json(F.struct(column)) if '"type":"map"' in field.dataType.json() else column
+
+    return F.xxhash64(*[hashable(f) for f in df.schema])

@@ -9,10 +9,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Into how many shuffle keys the rows without a key are spread.
-NULL_SPREAD = 256
-
-
 def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
 
@@ -22,24 +18,15 @@ def anti_join(
 ) -> DataFrame:
     """Rows of ``left`` whose key is not in ``right`` (NOT EXISTS).
 
-    A row with a null in its key never matches, so it always passes. Such rows would all hash
-    to one partition; a second join key spreads them by content instead. Set ``repeated`` if
-    ``right`` may hold a key many times: its keys are then made distinct before the join.
+    A row with a null in its key never matches, so it always passes; such rows are set apart and
+    are not shuffled at all. Set ``repeated`` if ``right`` may hold a key many times: its keys are
+    then made distinct before the join.
     """
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    spread = F.when(no_key, F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SPREAD))).otherwise(F.lit(0))
     seen = right.select(*keys).dropna()
-    # Always 0, but not a literal: the optimizer would turn a literal into a filter on the left
-    # side and drop the column from the join keys.
-    zero = F.pmod(F.xxhash64(*keys), F.lit(1))
-    seen = seen.withColumn("__spread", zero.cast("long"))
     if repeated:
         seen = seen.distinct()  # grouped by the join keys, so the join needs no other shuffle
-    return (
-        left.withColumn("__spread", spread.cast("long"))
-        .join(seen, [*keys, "__spread"], "left_anti")
-        .select(*left.columns)
-    )
+    return left.where(~no_key).join(seen, list(keys), "left_anti").select(*left.columns).union(left.where(no_key))
 
 
 def grouped_counts(

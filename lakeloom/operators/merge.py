@@ -8,8 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakeloom.functions.columns import any_of, content_hash
 from lakeloom.operators.joins import anti_join, null_safe_on
-from lakeloom.session import settle
+from lakeloom.session import remove_folder, settle
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column | str]) -> DataFrame:
@@ -20,7 +21,7 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Co
     every rerun.
     """
     named = [F.col(c).desc() if isinstance(c, str) else c for c in newest_first]
-    order = [*named, F.xxhash64(*df.columns).desc()]
+    order = [*named, content_hash(df).desc()]
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("__rank", rank).where(F.col("__rank") == 1).drop("__rank")
 
@@ -38,6 +39,7 @@ def merge_by_key(
     latest = latest_per_key(updates, keys, newest_first)
     if target is None:
         return latest
+    latest = settle(latest, "updates")  # read twice below
     return anti_join(target, latest, keys).unionByName(latest, allowMissingColumns=True)
 
 
@@ -74,22 +76,39 @@ def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Incremental append. Running it again with the same input adds nothing."""
-    target = read_if_exists(df.sparkSession, path)
-    append_table(new_rows(target, df, keys), path)
+def _without_key(keys: Sequence[str]) -> Column:
+    return any_of([F.col(k).isNull() for k in keys])
+
+
+def _not_stored(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` less those without a key that are stored already, column for column.
 
+    A row without a key has no identity but its content, so a load that is done again would
+    multiply it.
+    """
+    same = [c for c in rows.columns if c in stored.columns]
+    marked = rows.withColumn("__mark", content_hash(rows.select(*same)))
+    seen = stored.where(_without_key(keys)).select(*[F.col(c).cast(rows.schema[c].dataType) for c in same])
+    seen = seen.select(content_hash(seen).alias("__mark")).distinct()
+    fresh = marked.where(_without_key(keys)).join(seen, "__mark", "left_anti")
+    return rows.where(~_without_key(keys)).unionByName(fresh.drop("__mark"))
 
-#: Up to this many touched partitions are named in a filter when a table is merged into.
-NAMED_PARTITIONS = 10_000
+
+def append_new(df: DataFrame, path: str, keys: Sequence[str]) -> None:
+    """Incremental append. Running it again with the same input adds nothing.
+
+    Rows without a key always pass, unless the table holds the same row already.
+    """
+    target = read_if_exists(df.sparkSession, path)
+    fresh = df if target is None else _not_stored(new_rows(target, df, keys), target, keys)
+    append_table(fresh, path)
 
 
 def _touched_partitions(target: DataFrame, latest: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """The rows of ``target`` in partitions that ``latest`` has rows for.
 
-    Their values are put into a filter, so the other partitions are not even listed for reading.
-    There are at most as many as directories the write will touch; beyond the limit the join
-    alone decides.
+    The span of each partition column goes into a filter, so partitions beyond it are not even
+    listed for reading; the semi-join decides among the rest.
     """
     typed = target.withColumns(
         {
@@ -98,16 +117,43 @@ def _touched_partitions(target: DataFrame, latest: DataFrame, partition_by: Sequ
             if target.schema[c].dataType != latest.schema[c].dataType
         }
     )
+    bounds = [f(c).alias(f"{n}_{i}") for i, c in enumerate(partition_by) for n, f in (("least", F.min), ("most", F.max))]
+    span = latest.agg(*bounds, *[F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(partition_by)]).head()
+    for i, c in enumerate(partition_by):
+        inside = F.col(c).between(F.lit(span[f"least_{i}"]), F.lit(span[f"most_{i}"]))
+        typed = typed.where(inside | F.col(c).isNull() if span[f"nulls_{i}"] else inside)
     touched = latest.select(*partition_by).distinct()
-    named = touched.limit(NAMED_PARTITIONS + 1).collect()
-    if len(named) <= NAMED_PARTITIONS:
-        for i, c in enumerate(partition_by):
-            values = {row[i] for row in named}
-            known = F.col(c).isin([v for v in values if v is not None])
-            typed = typed.where(known | F.col(c).isNull() if None in values else known)
     return typed.join(touched, null_safe_on(typed, touched, partition_by), "left_semi")
 
 
+def _pending(path: str) -> str:
+    return f"{path.rstrip('/')}__pending"
+
+
+def _overwrite(merged: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    writer = merged.write.mode("overwrite")
+    if partition_by:
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    else:
+        writer.option("partitionOverwriteMode", "static").parquet(path)
+
+
+def finish_pending(spark: SparkSession, path: str) -> bool:
+    """Carry out the last step of a merge that was interrupted in it; says whether there was one.
+
+    What is to be written stands beside the table, whole, before the table is touched, so the step
+    can be done again from there however far it got.
+    """
+    ready = read_if_exists(spark, f"{_pending(path)}/ready")
+    if ready is None:
+        return False
+    rows = spark.read.parquet(f"{_pending(path)}/rows")
+    _overwrite(rows, path, [c for c in ready.head()["partition_by"]])
+    remove_folder(spark, f"{_pending(path)}/ready")  # first, so that no half of the rows is taken for all
+    remove_folder(spark, _pending(path))
+    return True
+
+
 def upsert_table(
     updates: DataFrame,
     path: str,
@@ -119,23 +165,27 @@ def upsert_table(
 
     With ``partition_by`` only the partitions that the updates touch are read and rewritten;
     those columns must belong to the key, else a changed row could stay behind in its old
-    partition. The merged rows are settled in the shared folder before the table is
-    overwritten, so the job never overwrites what it still reads, and doing it again with the
-    same updates gives the same table.
+    partition.
+
+    The merged rows are written to ``<path>__pending`` and entered as ready there before the
+    table is overwritten from them. A job that dies before that leaves the table as it was; one
+    that dies later is finished by the next call (or ``finish_pending``) from the rows that are
+    ready. The same updates again give the same table; rows without a key are added once.
     """
     if not set(partition_by) <= set(keys):
         raise ValueError("partition columns must be part of the merge key")
+    spark = updates.sparkSession
+    finish_pending(spark, path)
     latest = settle(latest_per_key(updates, keys, newest_first), "updates")
-    target = read_if_exists(updates.sparkSession, path)
+    target = read_if_exists(spark, path)
     if target is not None and partition_by:
         target = _touched_partitions(target, latest, partition_by)
     if target is None:
         merged = latest
     else:
         kept = anti_join(target, latest, keys)
-        merged = settle(kept.unionByName(latest, allowMissingColumns=True), "merged")
-    writer = merged.write.mode("overwrite")
-    if partition_by:
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-    else:
-        writer.option("partitionOverwriteMode", "static").parquet(path)
+        merged = kept.unionByName(_not_stored(latest, target, keys), allowMissingColumns=True)
+    replace_table(merged, f"{_pending(path)}/rows")
+    named = F.array(*[F.lit(c) for c in partition_by]).cast("array<string>")
+    replace_table(spark.range(1).select(named.alias("partition_by")), f"{_pending(path)}/ready")
+    finish_pending(spark, path)

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from lakeloom.functions.columns import round_money
+from lakeloom.functions.columns import content_hash, round_money
 from lakeloom.session import settle
 
 
@@ -76,116 +74,51 @@ def price_movement(
     )
 
 
-#: Up to this many rows a key is sorted by one task as a matter of course.
-WHOLE_KEY_ROWS = 1_000_000
+#: Rows of the sorted table that one slice of a trailing window holds.
+SLICE_ROWS = 100_000
 
 
 def trailing(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    carry: Sequence[str],
     measures: Callable[[WindowSpec, WindowSpec], dict[str, Column]],
     rows: int,
-    slice_by: Column | Sequence[Column],
-    whole_up_to: int | None = WHOLE_KEY_ROWS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Row-based trailing window in which large keys are cut into slices along the order.
+    """Row-based trailing window whose tasks hold slices of rows, however large a key is.
 
-    A plain window sorts a whole key in one task. Keys with more than ``whole_up_to`` rows are
-    worked on slice by slice instead, for example one city and year at a time. Of several
-    ``slice_by``, from coarse to fine, the first is taken whose slices stay within
-    ``whole_up_to`` rows; none may decrease along ``order``. Both are found by counting the key
-    columns first. With ``None`` nothing is counted and every key is cut into the first slices.
+    The table is range-sorted by key and order and its rows are numbered. Slices are equally many
+    consecutive rows; the last ``rows - 1`` of each are handed to the next slice too, so every
+    frame sees exactly the rows it would see in a window over the whole key. The plan is the same
+    at every size. Rows without an order value come last; a content hash completes the order, so
+    ties give the same result on every run.
 
     ``measures(frame, ordered)`` gets the trailing frame and the plain ordered window (for
-    ``lag``) and returns the new columns; ``carry`` names the columns they read. ``order`` has
-    to be total within a key.
-    """
-    slicings = [slice_by] if isinstance(slice_by, Column) else list(slice_by)
-    if whole_up_to is None:
-        return _sliced(df, F.lit(True), slicings[0], keys, order, carry, measures, rows)
-    # At most (rows of the table / whole_up_to) keys can be large.
-    large = settle(
-        df.groupBy(*keys).count().where(F.col("count") > whole_up_to).select(*keys), "large-keys"
-    )
-    if large.isEmpty():
-        ordered = Window.partitionBy(*keys).orderBy(*[F.asc_nulls_last(c) for c in order])
-        return df.withColumns(measures(ordered.rowsBetween(1 - rows, 0), ordered))
-    flagged = df.join(
-        large.withColumnsRenamed({k: f"__{k}" for k in keys}).withColumn("__is_large", F.lit(True)),
-        reduce(and_, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]),
-        "left",
-    ).drop(*[f"__{k}" for k in keys])
-    is_large = F.coalesce("__is_large", F.lit(False))
-    fitting = _fitting_slices(flagged.where(is_large), keys, slicings, whole_up_to)
-    return _sliced(flagged, is_large, fitting, keys, order, carry, measures, rows).drop("__is_large")
-
-
-def _fitting_slices(
-    df: DataFrame, keys: Sequence[str], slicings: Sequence[Column], limit: int
-) -> Column:
-    """The first slicing with no more than ``limit`` rows in any slice, else the finest."""
-    for slicing in slicings[:-1]:
-        sizes = df.groupBy(*keys, slicing.alias("__slice")).count()
-        if sizes.agg(F.max("count")).head()[0] <= limit:
-            return slicing
-    return slicings[-1]
-
-
-def _sliced(
-    df: DataFrame,
-    is_large: Column,
-    slice_by: Column,
-    keys: Sequence[str],
-    order: Sequence[str],
-    carry: Sequence[str],
-    measures: Callable[[WindowSpec, WindowSpec], dict[str, Column]],
-    rows: int,
-) -> DataFrame:
-    """The window over (key, slice), each slice led by the last rows before it.
-
-    The last ``rows - 1`` rows of the slices before are handed over to each slice, so every
-    frame sees exactly the rows it would see in the unsliced window. Keys that are not large
-    are one slice; rows without an order value form the last slice of their key.
+    ``lag``) and returns the new columns.
     """
     back = rows - 1
-    ascending = [F.asc_nulls_last(c) for c in order]
-    descending = [F.desc_nulls_first(c) for c in order]
-    sliced = df.withColumns(
-        {"__late": F.when(is_large, slice_by.isNull()), "__slice": F.when(is_large, slice_by)}
-    )
-    unit = [*keys, "__late", "__slice"]
-    needed = list(dict.fromkeys([*order, *carry]))
-
-    # At most ``rows - 1`` rows per (key, slice); the limit already applies before the shuffle.
-    last_rows = (
-        sliced.select(*unit, *needed)
-        .where(F.col("__late").isNotNull())
-        .withColumn("__back", F.row_number().over(Window.partitionBy(*unit).orderBy(*descending)))
-        .where(F.col("__back") <= back)
+    if slice_rows <= back:
+        raise ValueError("a slice must be longer than the window")
+    ordering = [*(F.asc(k) for k in keys), *(F.asc_nulls_last(c) for c in order), content_hash(df).asc()]
+    numbered = settle(
+        df.repartitionByRange(*ordering)
+        .sortWithinPartitions(*ordering)
+        .withColumn("__id", F.monotonically_increasing_id()),
+        "sorted",
     )
-    tails = last_rows.groupBy(*unit).agg(
-        F.sort_array(
-            F.collect_list(F.struct((-F.col("__back")).alias("__seq"), *needed))
-        ).alias("__tail")
-    )
-    # One row per (key, slice); ``rows - 1`` non-empty slices hold at least ``rows - 1`` rows.
-    before = Window.partitionBy(*keys).orderBy("__late", "__slice").rowsBetween(-back, -1)
-    handed = F.flatten(F.collect_list("__tail").over(before))
-    halo = (
-        tails.select(*unit, handed.alias("__halo"))
-        .select(
-            *unit,
-            F.inline(
-                F.when(F.size("__halo") > back, F.slice("__halo", -back, back)).otherwise(F.col("__halo"))
-            ),
-        )
-        .drop("__seq")
-        .withColumn("__handed", F.lit(True))
-    )
-
-    ordered = Window.partitionBy(*unit).orderBy(*ascending)
-    frame = ordered.rowsBetween(-back, 0)
-    both = sliced.withColumn("__handed", F.lit(False)).unionByName(halo, allowMissingColumns=True)
-    return both.withColumns(measures(frame, ordered)).where(~F.col("__handed")).drop("__handed", "__late", "__slice")
+    # the upper bits of the id are the partition; one number for each goes to the driver
+    part = F.shiftright("__id", 33)
+    before, total = [], 0
+    for number, count in sorted(tuple(r) for r in numbered.groupBy(part.alias("__part")).count().collect()):
+        before.append((number, total))
+        total += count
+    bases = df.sparkSession.createDataFrame(before, "__part long, __base long")
+    place = F.col("__base") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = numbered.withColumn("__part", part).join(bases, "__part").withColumn("__place", place)
+    own = F.floor(F.col("__place") / slice_rows)
+    last = F.col("__place") % slice_rows >= slice_rows - back
+    sliced = placed.withColumn("__slice", F.explode(F.when(last, F.array(own, own + 1)).otherwise(F.array(own))))
+    ordered = Window.partitionBy("__slice", *keys).orderBy("__place")
+    measured = sliced.withColumns(measures(ordered.rowsBetween(-back, 0), ordered))
+    return measured.where(F.col("__slice") == own).drop("__id", "__part", "__base", "__place", "__slice")

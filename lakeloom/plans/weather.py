@@ -96,10 +96,8 @@ def staging_weather(weather: DataFrame) -> DataFrame:
         weather,
         keys=["city"],
         order=["weather_date"],
-        carry=["temperature_mean", "precipitation_sum"],
         measures=measures,
         rows=V.TRAILING_ROWS,
-        slice_by=[F.trunc("weather_date", unit) for unit in ("year", "month")] + [F.col("weather_date")],
     )
     return rows.select(
         "weather_date",

@@ -57,3 +57,14 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever it lies; nothing happens if it is not there."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this application has settled; for the end of a run, when its results are written."""
+    remove_folder(spark, f"{shared_dir(spark)}/lakeloom/{spark.sparkContext.applicationId}")

@@ -97,17 +97,19 @@ def append_stream(
 
 
 def without_repeats(
-    stream: DataFrame, keys: Sequence[str], time: str, delay: str, spread: Sequence[str] = ()
+    stream: DataFrame, keys: Sequence[str], time: str, delay: str, spread: Sequence[str] = (), ways: int | None = None
 ) -> DataFrame:
     """The first row of each key, repeats within ``delay`` dropped.
 
     With ``spread`` (columns that differ between copies, such as the file and row they came
     from) copies are first dropped within sub-keys, so that one key with very many copies
-    is met by many tasks before the few that are left meet in one.
+    is met by many tasks before the few that are left meet in one: ``ways`` of them, by default
+    as many as the session shuffles to.
     """
     rows = stream.withWatermark(time, delay)
     if spread:
-        part = F.pmod(F.xxhash64(*spread), F.lit(64))
+        ways = ways or int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        part = F.pmod(F.xxhash64(*spread), F.lit(ways))
         rows = (
             rows.withColumn("__part", part)
             .dropDuplicatesWithinWatermark([*keys, "__part"])

@@ -576,10 +576,8 @@ def rolling_anomaly(t: Tables) -> DataFrame:
         settle(daily, "daily-events"),
         ["event_type"],
         ["day"],
-        ["total"],
         measures,
         V.TRAILING_ROWS,
-        slice_by=F.trunc("day", "month"),
     )
     return rows.withColumns({c: six(F.col(c)) for c in ("total", "anomaly", "trailing_avg", "change")})
 
@@ -603,11 +601,8 @@ def rolling_ticks(t: Tables) -> DataFrame:
         ticks,
         ["event_type"],
         ["ts", "event_id"],
-        ["value"],
         measures,
         V.TRAILING_ROWS,
-        slice_by=[F.date_trunc(unit, "ts") for unit in ("day", "hour", "minute", "second")],
-        whole_up_to=1000,
     )
     return rows.select("event_id", "event_type", six(F.col("trailing_avg")).alias("trailing_avg"), six(F.col("change")).alias("change"))
 

@@ -116,8 +116,7 @@ def test_upsert_reads_only_touched_partitions(spark, tmp_path):
     )
 
 
-def test_more_touched_partitions_than_are_named(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(merge, "NAMED_PARTITIONS", 1)
+def test_some_partitions_of_a_span_are_touched(spark, tmp_path):
     path, schema = str(tmp_path / "t"), "y int, k int, v string, seq int"
     merge.upsert_table(frame(spark, [(y, 1, "a", 1) for y in range(4)], schema), path, ["y", "k"], NEWEST, ["y"])
     merge.upsert_table(frame(spark, [(y, 1, "b", 2) for y in range(2)], schema), path, ["y", "k"], NEWEST, ["y"])
@@ -155,6 +154,58 @@ def test_append_new_twice(spark, tmp_path):
     assert rows(spark.read.parquet(path)) == [(1, "a", 1), (2, "b", 2)]
 
 
+@pytest.mark.parametrize("partition_by", [[], ["y"]])
+@pytest.mark.parametrize("dies", ["before the table is touched", "with the table emptied", "after the write"])
+def test_an_interrupted_merge_loses_nothing(spark, tmp_path, monkeypatch, partition_by, dies):
+    path, schema, keys = str(tmp_path / "t"), "y int, k int, v string, seq int", ["y", "k"]
+    first = [(2020 + i % 3, i, "a", 1) for i in range(100)] + [(None, 7, "n", 1)]
+    batch = frame(spark, [(2020, 0, "b", 2), (2021, 500, "c", 2), (None, 8, "m", 2)], schema)
+    merge.upsert_table(frame(spark, first, schema), path, keys, NEWEST, partition_by)
+    whole = merge._overwrite
+
+    def broken(merged, at, by):
+        if dies == "with the table emptied":
+            for file in (tmp_path / "t").rglob("*.parquet"):
+                file.unlink()
+        if dies == "after the write":
+            whole(merged, at, by)
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(merge, "_overwrite", broken)
+    if dies == "with the table emptied" and partition_by:  # only partitions that are written go
+        touched = tmp_path / "t" / "y=2020"
+
+        def broken(merged, at, by):  # noqa: F811
+            for file in touched.glob("*.parquet"):
+                file.unlink()
+            raise RuntimeError("executor lost")
+
+        monkeypatch.setattr(merge, "_overwrite", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        merge.upsert_table(batch, path, keys, NEWEST, partition_by)
+    monkeypatch.setattr(merge, "_overwrite", whole)
+    for _ in range(2):  # the call is repeated, and its batch replayed
+        merge.upsert_table(batch, path, keys, NEWEST, partition_by)
+    want = {r[1]: r for r in first if r[0]} | {0: (2020, 0, "b", 2), 500: (2021, 500, "c", 2)}
+    want = [*want.values(), (None, 7, "n", 1), (None, 8, "m", 2)]
+    got = spark.read.parquet(path).select("y", "k", "v", "seq")
+    assert rows(got) == sorted(want, key=repr)
+    assert not (tmp_path / "t__pending").exists()
+
+
+def test_replays_do_not_multiply_rows_without_a_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    batch = frame(spark, [(None, "n", 1), (1, "a", 1)])
+    for _ in range(3):
+        merge.append_new(batch, path, ["k"])
+    assert rows(spark.read.parquet(path)) == [(1, "a", 1), (None, "n", 1)]
+
+
+def test_rows_with_maps_can_be_ranked(spark):
+    df = spark.createDataFrame([(1, {"a": 1}, 1), (1, {"a": 2}, 1)], "k int, m map<string,int>, seq int")
+    assert merge.latest_per_key(df, ["k"], NEWEST).count() == 1
+
+
 def test_replace(spark, tmp_path):
     path = str(tmp_path / "t")
     merge.replace_table(frame(spark, [(1, "a", 1)]), path)

@@ -49,14 +49,12 @@ def series(seed):
 SCHEMA = "key string, day date, seq bigint, v double"
 
 
-@pytest.mark.parametrize("whole_up_to", [None, 10, 100, 10_000])
+@pytest.mark.parametrize("slice_rows", [14, 50, 10_000])
 @pytest.mark.parametrize("size", [2, 14])
-def test_trailing_equals_brute_force(spark, whole_up_to, size):
+def test_trailing_equals_brute_force(spark, slice_rows, size):
     data = series(size)
     df = spark.createDataFrame(data, SCHEMA)
-    got = W.trailing(
-        df, ["key"], ["day", "seq"], ["v"], measures, size, F.trunc("day", "month"), whole_up_to
-    )
+    got = W.trailing(df, ["key"], ["day", "seq"], measures, size, slice_rows)
     assert set(got.columns) == {*df.columns, "mean", "n", "step"}
     want = brute(data, size)
     have = rows(got.select("key", "seq", "mean", "n", "step"))
@@ -64,45 +62,29 @@ def test_trailing_equals_brute_force(spark, whole_up_to, size):
     assert [r[2] for r in have] == pytest.approx([r[2] for r in want])
 
 
-def test_slices_get_finer_until_they_fit(spark):
-    data = series(3)
+def test_ties_give_the_same_rows_however_they_are_cut(spark):
+    data = [("k", date(2020, 1, 1 + i // 9), i, float(i * 7 % 31)) for i in range(200)]
     df = spark.createDataFrame(data, SCHEMA)
-    slicings = [F.trunc("day", "year"), F.trunc("day", "month"), F.col("day")]
-    sizes = {
-        str(c): max(n for (_, slot), n in _slots(df, c).items()) for c in slicings
-    }
-    year, month, _ = sizes.values()
-    assert year > month
-    pick = lambda limit: str(W._fitting_slices(df, ["key"], slicings, limit))
-    assert pick(year) == str(slicings[0])
-    assert pick(month) == str(slicings[1])
-    assert pick(1) == str(slicings[2])
-    got = W.trailing(df, ["key"], ["day", "seq"], ["v"], measures, 14, slicings, 60)
-    assert [r[:2] + r[3:] for r in rows(got.select("key", "seq", "mean", "n", "step"))] == [
-        r[:2] + r[3:] for r in brute(data, 14)
+    results = [
+        rows(W.trailing(part, ["key"], ["day"], measures, 14, n))
+        for part, n in ((df, 20), (df.repartition(7), 20), (df.orderBy(F.desc("seq")), 64), (df, 100_000))
     ]
-
-
-def _slots(df, slicing):
-    return {(r.key, r.slot): r["count"] for r in df.groupBy("key", slicing.alias("slot")).count().collect()}
+    assert all(r == results[0] for r in results)
 
 
 def test_trailing_of_nothing(spark):
     df = spark.createDataFrame([], SCHEMA)
-    got = W.trailing(df, ["key"], ["day", "seq"], ["v"], measures, 14, F.trunc("day", "month"), None)
-    assert got.count() == 0
+    assert W.trailing(df, ["key"], ["day", "seq"], measures, 14).count() == 0
+    with pytest.raises(ValueError, match="longer"):
+        W.trailing(df, ["key"], ["day", "seq"], measures, 14, 13)
 
 
-def test_only_large_keys_are_sliced(spark):
+def test_no_task_holds_a_whole_key(spark):
     df = spark.createDataFrame(series(1), SCHEMA)
-    plain = W.trailing(df, ["key"], ["day", "seq"], ["v"], measures, 14, F.trunc("day", "month"), 10_000)
-    assert "WindowGroupLimit" not in plan_text(plain)
-    sliced = W.trailing(df, ["key"], ["day", "seq"], ["v"], measures, 14, F.trunc("day", "month"), 100)
-    text = plan_text(sliced)
-    # the rows handed over are limited before they are shuffled
-    assert text.count("WindowGroupLimit") == 2
-    # the window itself is spread over slices, not over keys alone
-    assert "hashpartitioning(key" in text and "__slice" in text
+    text = plan_text(W.trailing(df, ["key"], ["day", "seq"], measures, 14, 50))
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    assert windows and all("__slice" in w.split("], [")[1] for w in windows)
+    assert "hashpartitioning(__slice" in text and "hashpartitioning(key" not in text
 
 
 def test_price_movement(spark):
