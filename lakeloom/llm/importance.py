@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.runs import mixed, runs
@@ -106,6 +106,10 @@ def _gumbel(noise: np.ndarray) -> np.ndarray:
     return -np.log(-np.log(uniform))
 
 
+def _noise(doc_id: Column, text: Column, seed: int) -> Column:
+    return F.xxhash64(F.lit(seed), doc_id, F.xxhash64(text))
+
+
 def _texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(col(doc_id).cast("long").alias("doc_id"), col(text).cast("string").alias("text"))
 
@@ -146,15 +150,22 @@ def _best_cut(kept: DataFrame, known: dict[int, int], model: Model) -> float | N
     if not is_good.any() or is_good.all():
         return None
 
+    ratios, seed = model.ratios, model.seed
+
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.isin(batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False), ids)
-            yield batch.filter(pa.array(found & np.asarray(batch.column(0).is_valid())))
+            some = batch.filter(pa.array(found & np.asarray(batch.column(0).is_valid())))
+            weights = np.array([ratios[grams(t.as_py())].sum() for t in some.column(1)], dtype=np.float64)
+            keys = weights + _gumbel(some.column(2).to_numpy(zero_copy_only=False).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([some.column(0), pa.array(keys)], names=["doc_id", "key"])
 
-    some = kept.mapInArrow(labelled, "doc_id long, text string")
+    marked = kept.withColumn("noise", _noise(F.col("doc_id"), F.col("text"), seed))
     # at most ``bound`` documents, and their repeats, in bins: what reaches the driver is bounded
     near = F.least(F.greatest("key", F.lit(-REACH)), F.lit(REACH))
-    bins = scored(some, model).select("doc_id", F.floor(near * (BINS / 2 / REACH)).alias("bin"))
+    bins = marked.mapInArrow(labelled, "doc_id long, key double").select(
+        "doc_id", F.floor(near * (BINS / 2 / REACH)).alias("bin")
+    )
     named = kept.sparkSession.createDataFrame(list(zip(ids.tolist(), is_good.tolist())), "doc_id long, good int")
     counts = np.zeros((2, BINS + 1))
     tallied = bins.join(named, "doc_id")
@@ -213,7 +224,7 @@ def scored(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "t
 
     names = [c for c in docs.columns if c not in ("log_weight", "key", "kept")]
     body = col(text).cast("string")
-    noise = F.xxhash64(F.lit(seed), col(doc_id).cast("long"), F.xxhash64(body))
+    noise = _noise(col(doc_id).cast("long"), body, seed)
     found = docs.select(*[col(c) for c in names], weigh(body, noise).alias("weighed_text"))
     key = F.col("weighed_text.key")
     kept = F.lit(True) if cut is None else key >= F.lit(cut)
