@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakeloom.llm.shared import col, settle, task_names
+from lakeloom.llm.shared import col
 
 #: inner substring; read as one 64-bit number
 INNER = 8
@@ -129,6 +130,20 @@ _RESULT = [
 _KINDS = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
 
 
+def _buckets(kept: DataFrame, number: int) -> DataFrame:
+    """``kept`` with ``bucket``: ranges of about as many rows, in descending order of doc_id.
+
+    Rows without a doc_id are last and fall into ranges of their mark.
+    """
+    steps = [F.lit(i / number) for i in range(1, number)]
+    ids = F.col("doc_id").cast("long")
+    found = kept.agg(F.percentile_approx(ids, F.array(*steps), 10_000)).first()[0] if steps else None
+    bounds = F.array(*[F.lit(b).cast("long") for b in sorted(set(found or []))]).cast("array<long>")
+    nameless = F.lit(number) + F.floor((F.lit(0.5) - F.col("mark") / F.lit(2.0**64)) * number)
+    named = F.size(F.filter(bounds, lambda b: b > ids))
+    return kept.withColumn("bucket", F.when(F.col("doc_id").isNull(), nameless).otherwise(named).cast("long"))
+
+
 def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Each text's fingerprint, and its likeness to an edited form and to the next document.
 
@@ -136,68 +151,56 @@ def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     are empty. Rows without a doc_id come last; rows that repeat one stand in the order of a hash of
     their texts. A lone row is its own next. An empty table gives none.
 
-    Texts are shuffled once, by range. A range's last row waits for the first of the next range:
-    those rows (two texts a range) are written apart and joined afterwards.
+    Texts are shuffled once, by range. A range's first row goes along to the range before as
+    well, so that the last row there finds its next. Which rows these are (one for each range,
+    without their texts) is all that reaches the driver.
     """
     spark = docs.sparkSession
     kept = docs.select(col(doc_id).alias("doc_id"), col(text).cast("string").alias("text"))
     kind = kept.schema["doc_id"].dataType.simpleString()
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc()]
-    ordered = kept.repartitionByRange(*order).sortWithinPartitions(*order)
-    fields = [("doc_id", kind), *_RESULT, ("part", "long"), ("text", "string"), ("head", "string")]
+    number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = _buckets(kept.withColumn("mark", F.xxhash64("text")), number)
+    place = F.struct(F.col("doc_id").isNotNull(), "doc_id", "mark")
+    firsts = rows.groupBy("bucket").agg(F.max(place).alias("first")).select("bucket", "first.doc_id", "first.mark")
+    listed = sorted((tuple(r) for r in firsts.collect()), key=lambda r: r[0])
+    before = [listed[i - 1][0] for i in range(len(listed))]  # the first range's row goes to the last
+    guests = spark.createDataFrame(
+        [(d, m, b) for (_, d, m), b in zip(listed, before)],
+        T.StructType(
+            [T.StructField("g_doc", kept.schema["doc_id"].dataType), T.StructField("g_mark", T.LongType()),
+             T.StructField("g_bucket", T.LongType())]
+        ),
+    )
+    own = F.struct(F.col("bucket"), F.lit(False).alias("guest"))
+    also = F.struct(F.col("g_bucket").alias("bucket"), F.lit(True).alias("guest"))
+    placed = (
+        rows.join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("g_doc")) & (F.col("mark") == F.col("g_mark")), "left")
+        .withColumn("at", F.explode(F.when(F.col("g_bucket").isNull(), F.array(own)).otherwise(F.array(own, also))))
+        .select("at.bucket", "at.guest", "doc_id", "mark", "text")
+    )
+    ordered = (
+        placed.repartitionByRange(number, "bucket")
+        .sortWithinPartitions("bucket", "guest", F.col("doc_id").desc_nulls_last(), F.col("mark").desc())
+        .select("bucket", "guest", "doc_id", "text")
+    )
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = task_names()[0]
-        before: tuple | None = None
-        first: str | None = None
-        id_type = None
-
-        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-            kinds = [id_type, *(_KINDS[k] for _, k in fields[1:])]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[n for n, _ in fields]
-            )
+        before: tuple | None = None  # (bucket, doc_id, marked text) of the row that waits for its next
 
         for batch in batches:
-            id_type = batch.schema.field(0).type
             rows = []
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for bucket, guest, doc, body in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3)):
+                if guest and (before is None or before[0] != bucket):
+                    continue  # a repeat of the guest that was met
                 mark = Marked(body.as_py())
-                if before is None:
-                    first = mark.text
-                else:
-                    rows.append((before[0], *_row(before[1], mark), None, None, None))
-                before = (doc, mark)
-                if len(rows) >= 500:
-                    yield batch_of(rows)
-                    rows = []
-            if rows:
-                yield batch_of(rows)
-        if before is not None:
-            yield batch_of([(before[0], *[None] * len(_RESULT), part, before[1].text, first)])
-
-    found = settle(ordered.mapInArrow(compared, ", ".join(f"{n} {k}" for n, k in fields)), "compared")
-    # one number for each range that has rows
-    parts = [r[0] for r in found.filter("part is not null").select("part").orderBy("part").collect()]
-    following = spark.createDataFrame(
-        list(zip(parts, parts[1:] + parts[:1])), "part long, following long"
-    )
-    edges = found.filter("part is not null").select("doc_id", "part", "text", "head")
-    heads = edges.select(F.col("part").alias("following"), "head")
-    waiting = edges.drop("head").join(following, "part").join(heads, "following").select("doc_id", "text", "head")
-
-    def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [
-                (doc, *_row(Marked(own), Marked(head)))
-                for doc, own, head in zip(*(c.to_pylist() for c in batch.columns))
-            ]
-            kinds = [batch.schema.field(0).type, *(_KINDS[k] for _, k in _RESULT)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                names=["doc_id", *(n for n, _ in _RESULT)],
-            )
-
-    schema = ", ".join(f"{n} {k}" for n, k in [("doc_id", kind), *_RESULT])
-    rest = found.filter("part is null").select("doc_id", *(n for n, _ in _RESULT))
-    return rest.union(waiting.mapInArrow(finished, schema))
+                if before is not None and before[0] == bucket:
+                    rows.append((before[1], *_row(before[2], mark)))
+                before = None if guest else (bucket, doc, mark)
+            for at in range(0, len(rows), 500):
+                kinds = [batch.schema.field(2).type, *(_KINDS[k] for _, k in _RESULT)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*rows[at : at + 500]), kinds)],
+                    names=["doc_id", *(n for n, _ in _RESULT)],
+                )
+
+    return ordered.mapInArrow(compared, ", ".join(f"{n} {k}" for n, k in [("doc_id", kind), *_RESULT]))
