@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from lakeloom.functions.columns import content_hash, round_money
@@ -78,6 +78,12 @@ def price_movement(
 SLICE_ROWS = 100_000
 
 
+def _inline(spark: SparkSession, pairs: Sequence[tuple[int, int]]) -> DataFrame:
+    """A few numbers as a table that is part of the plan."""
+    values = ", ".join(f"({a}L, {b}L)" for a, b in pairs) or "(-1L, 0L)"
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t(__part, __base)")
+
+
 def trailing(
     df: DataFrame,
     keys: Sequence[str],
@@ -113,7 +119,7 @@ def trailing(
     for number, count in sorted(tuple(r) for r in numbered.groupBy(part.alias("__part")).count().collect()):
         before.append((number, total))
         total += count
-    bases = df.sparkSession.createDataFrame(before, "__part long, __base long")
+    bases = _inline(df.sparkSession, before)
     place = F.col("__base") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
     placed = numbered.withColumn("__part", part).join(bases, "__part").withColumn("__place", place)
     own = F.floor(F.col("__place") / slice_rows)

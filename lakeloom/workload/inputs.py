@@ -41,17 +41,17 @@ def alcoholic_table(t: Tables) -> DataFrame:
         .when(F.col("p_size") < 35, "Optional alcohol")
         .otherwise("Alcoholic")
     )
-    return t.part.where(F.col("p_size") > 5).select(
-        _text("p_partkey").alias("idDrink"), kind.alias("source_alcohol_type")
-    )
+    # small parts have a key that no drink has, so some drinks stay without a match
+    key = F.when(F.col("p_size") > 5, _text("p_partkey")).otherwise(F.concat(F.lit("x"), _text("p_partkey")))
+    return t.part.select(key.alias("idDrink"), kind.alias("source_alcohol_type"))
 
 
 piece(
     "alcoholic_table",
-    """SELECT CAST(p_partkey AS VARCHAR) AS idDrink,
+    """SELECT CASE WHEN p_size > 5 THEN '' ELSE 'x' END || p_partkey AS idDrink,
        CASE WHEN p_size < 20 THEN 'Non alcoholic' WHEN p_size < 35 THEN 'Optional alcohol'
             ELSE 'Alcoholic' END AS source_alcohol_type
-       FROM part WHERE p_size > 5""",
+       FROM part""",
 )
 
 
@@ -159,15 +159,15 @@ piece(
 
 
 def category_table(t: Tables) -> DataFrame:
-    return t.customer.where(F.col("c_acctbal") > 0).select(
-        _text("c_custkey").alias("id_meal"), F.col("c_mktsegment").alias("source_category")
-    )
+    # customers in debt go under a key that no meal has
+    key = F.when(F.col("c_acctbal") > 0, _text("c_custkey")).otherwise(F.concat(F.lit("x"), _text("c_custkey")))
+    return t.customer.select(key.alias("id_meal"), F.col("c_mktsegment").alias("source_category"))
 
 
 piece(
     "category_table",
-    """SELECT CAST(c_custkey AS VARCHAR) AS id_meal, c_mktsegment AS source_category
-       FROM customer WHERE c_acctbal > 0""",
+    """SELECT CASE WHEN c_acctbal > 0 THEN '' ELSE 'x' END || c_custkey AS id_meal,
+       c_mktsegment AS source_category FROM customer""",
 )
 
 
@@ -187,20 +187,17 @@ piece(
 
 
 def ingredients(t: Tables) -> DataFrame:
-    return (
-        t.orders.where(F.col("o_orderpriority") != "5-LOW")
-        .select(
-            F.substring("o_orderpriority", 1, 1).alias("id_ingredient"),
-            F.col("o_orderpriority").alias("str_ingredient"),
-        )
-        .distinct()
-    )
+    # one ingredient is listed under another name, so some meals stay without a match
+    name = F.when(F.col("o_orderpriority") == "5-LOW", "unlisted").otherwise(F.col("o_orderpriority"))
+    return t.orders.select(
+        F.substring("o_orderpriority", 1, 1).alias("id_ingredient"), name.alias("str_ingredient")
+    ).distinct()
 
 
 piece(
     "ingredients",
-    """SELECT DISTINCT substr(o_orderpriority, 1, 1) AS id_ingredient, o_orderpriority AS str_ingredient
-       FROM orders WHERE o_orderpriority <> '5-LOW'""",
+    """SELECT DISTINCT substr(o_orderpriority, 1, 1) AS id_ingredient,
+       CASE o_orderpriority WHEN '5-LOW' THEN 'unlisted' ELSE o_orderpriority END AS str_ingredient FROM orders""",
 )
 
 
@@ -527,17 +524,18 @@ piece(
 
 
 def character_episode(t: Tables) -> DataFrame:
-    urgent = t.orders.where(F.col("o_orderpriority") == "1-URGENT")
-    return urgent.select(
-        row_key("o_custkey").alias("_dlt_root_id"),
+    # the orders of one customer in five go to a parent that is not there
+    parent = F.when(F.col("o_custkey") % 5 == 0, -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    return t.orders.select(
+        row_key(parent).alias("_dlt_root_id"),
         F.concat(F.lit("https://show/api/episode/"), _text("o_orderkey")).alias("value"),
     )
 
 
 piece(
     "character_episode",
-    """SELECT sha256(CAST(o_custkey AS VARCHAR)) AS _dlt_root_id, 'https://show/api/episode/' || o_orderkey AS value
-       FROM orders WHERE o_orderpriority = '1-URGENT'""",
+    """SELECT sha256(CAST(CASE WHEN o_custkey % 5 = 0 THEN -o_custkey ELSE o_custkey END AS VARCHAR)) AS _dlt_root_id,
+       'https://show/api/episode/' || o_orderkey AS value FROM orders""",
 )
 
 TITLE_BY_PRIORITY = {
@@ -578,17 +576,18 @@ piece(
 
 
 def episode_characters(t: Tables) -> DataFrame:
-    returned = t.lineitem.where(F.col("l_returnflag") == "R")
-    return returned.select(
-        row_key("l_orderkey").alias("_dlt_root_id"),
+    # the lines of one order in seven go to a parent that is not there
+    parent = F.when(F.col("l_orderkey") % 7 == 0, -1 - F.col("l_orderkey")).otherwise(F.col("l_orderkey"))
+    return t.lineitem.select(
+        row_key(parent).alias("_dlt_root_id"),
         F.concat(F.lit("https://show/api/character/"), _text("l_partkey")).alias("value"),
     )
 
 
 piece(
     "episode_characters",
-    """SELECT sha256(CAST(l_orderkey AS VARCHAR)) AS _dlt_root_id,
-       'https://show/api/character/' || l_partkey AS value FROM lineitem WHERE l_returnflag = 'R'""",
+    """SELECT sha256(CAST(CASE WHEN l_orderkey % 7 = 0 THEN -1 - l_orderkey ELSE l_orderkey END AS VARCHAR)) AS _dlt_root_id,
+       'https://show/api/character/' || l_partkey AS value FROM lineitem""",
 )
 
 PLACE_KINDS = ["Planet", "TV", "spa", "Box", "QUADRANT", "Hell", "Country", None]
@@ -626,16 +625,16 @@ piece(
 
 
 def location_residents(t: Tables) -> DataFrame:
-    rare = t.lineitem.where((F.col("l_quantity") == 50) & (F.col("l_discount") == 0.1) & (F.col("l_tax") == 0.08))
-    return rare.select(
-        row_key("l_suppkey").alias("_dlt_root_id"),
+    # the lines of one supplier in four go to a place that is not there
+    parent = F.when(F.col("l_suppkey") % 4 == 0, -1 - F.col("l_suppkey")).otherwise(F.col("l_suppkey"))
+    return t.lineitem.select(
+        row_key(parent).alias("_dlt_root_id"),
         F.concat(F.lit("https://show/api/character/"), _text("l_partkey")).alias("value"),
     )
 
 
 piece(
     "location_residents",
-    """SELECT sha256(CAST(l_suppkey AS VARCHAR)) AS _dlt_root_id,
-       'https://show/api/character/' || l_partkey AS value
-       FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1 AND l_tax = 0.08""",
+    """SELECT sha256(CAST(CASE WHEN l_suppkey % 4 = 0 THEN -1 - l_suppkey ELSE l_suppkey END AS VARCHAR)) AS _dlt_root_id,
+       'https://show/api/character/' || l_partkey AS value FROM lineitem""",
 )
