@@ -1,7 +1,8 @@
 """Building the tables of one subject, layer by layer.
 
 Each table is published before the next one reads it, so every join sees inputs of known size,
-and a build that dies can be done again from the start with the same version.
+and a build that dies can be done again from the start with the same version. A table whose
+keys are missing or repeated does not become the current version, and nothing is built on it.
 """
 
 from __future__ import annotations
@@ -16,12 +17,16 @@ from lakeloom.operators.dims import calendar
 from lakeloom.operators.history import current_rows, read_history, snapshot_table
 from lakeloom.operators.merge import append_table, read_if_exists
 from lakeloom.operators.planning import freshness
-from lakeloom.operators.quality import NotNull, run_checks
+from lakeloom.operators.quality import NotNull, Unique, run_checks
 from lakeloom.plans import contracts, drinks, meals, others, weather
 from lakeloom.sinks.publish import publish, publish_view, require_rows
 
 Feeds = Mapping[str, DataFrame]
 
+#: kinds of checks that stop a build: missing and repeated keys spoil the tables built on them,
+#: odd values and references to rows that have not landed are for the report
+STOPPING = (NotNull, Unique)
+
 
 class Build:
     """The tables published so far under one root and version."""
@@ -33,7 +38,8 @@ class Build:
 
     def table(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         contract = contracts.CONTRACTS.get(name)
-        self.tables[name] = publish(df, self.root, layer, name, self.version, contract)
+        checks = [c for c in contracts.CHECKS.get(name, ()) if isinstance(c, STOPPING)]
+        self.tables[name] = publish(df, self.root, layer, name, self.version, contract, checks=checks)
         return self.tables[name]
 
     def view(self, layer: str, name: str, df: DataFrame) -> DataFrame:

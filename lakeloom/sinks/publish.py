@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
-from lakeloom.operators.quality import enforce_contract
+from lakeloom.operators.history import current_rows
+from lakeloom.operators.merge import append_table, read_if_exists
+from lakeloom.operators.quality import Check, enforce_contract, run_checks
 
 
 class EmptyInput(RuntimeError):
     pass
 
 
+class ChecksFailed(RuntimeError):
+    """A version that was written but does not pass its checks; it did not become current."""
+
+
 def require_rows(df: DataFrame, name: str) -> DataFrame:
     """Stop a build whose input is empty. Reads no more than it takes to see one row."""
     if df.isEmpty():
@@ -28,11 +36,14 @@ def publish(
     contract: T.StructType | None = None,
     partition_by: tuple[str, ...] = (),
     sort_by: tuple[str, ...] = (),
+    checks: Sequence[Check] = (),
+    parents: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Write one version of a table and point the view ``<layer>__<name>`` at it.
+    """Write one version of a table, enter it as current, point the view ``<layer>__<name>`` at it.
 
     Each version has a directory of its own, so readers of the version before are not
-    disturbed, and a failed write is simply written again. ``sort_by`` orders the rows within
+    disturbed, and a failed write is simply written again. A version that fails one of its
+    ``checks`` is not entered, and the build stops. ``sort_by`` orders the rows within
     each file, which narrows the ranges the files are skipped by; it is no order of the table.
     """
     if contract is not None:
@@ -44,6 +55,13 @@ def publish(
         *partition_by
     ).parquet(path)
     published = df.sparkSession.read.schema(df.schema).parquet(path)
+    if checks:
+        rows = current_rows(published) if "dbt_valid_to" in published.columns else published
+        failed = run_checks(rows, checks, parents or {}).where("status = 'fail'").collect()
+        if failed:
+            shown = ", ".join(f"{r['check']} of {r['column']} ({r['failures']})" for r in failed)
+            raise ChecksFailed(f"{layer}.{name}, version {version}: {shown}")
+    _enter(df.sparkSession, root, layer, name, version)
     published.createOrReplaceTempView(f"{layer}__{name}")
     return published
 
@@ -61,3 +79,27 @@ def listed(df: DataFrame, *descending: str) -> DataFrame:
 
 def published(spark: SparkSession, layer: str, name: str) -> DataFrame:
     return spark.table(f"{layer}__{name}")
+
+
+def _entries(root: str, layer: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{layer}/{name}__versions"
+
+
+def _enter(spark: SparkSession, root: str, layer: str, name: str, version: str) -> None:
+    entered = read_if_exists(spark, _entries(root, layer, name))
+    last = 0 if entered is None else entered.agg(F.max("place")).head()[0] or 0
+    entry = spark.range(1).select(F.lit(last + 1).cast("long").alias("place"), F.lit(version).alias("version"))
+    append_table(entry, _entries(root, layer, name))
+
+
+def current_version(spark: SparkSession, root: str, layer: str, name: str) -> str | None:
+    """The version that was entered last, whichever session published it."""
+    entered = read_if_exists(spark, _entries(root, layer, name))
+    return None if entered is None else entered.agg(F.max_by("version", "place")).head()[0]
+
+
+def read_current(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
+    version = current_version(spark, root, layer, name)
+    if version is None:
+        raise LookupError(f"no version of {layer}.{name} is published under {root}")
+    return spark.read.parquet(f"{root.rstrip('/')}/{layer}/{name}/version={version}")

@@ -581,12 +581,12 @@ def episode_characters(t: Tables) -> DataFrame:
     return t.lineitem.select(
         row_key(parent).alias("_dlt_root_id"),
         F.concat(F.lit("https://show/api/character/"), _text("l_partkey")).alias("value"),
-    )
+    ).distinct()
 
 
 piece(
     "episode_characters",
-    """SELECT sha256(CAST(CASE WHEN l_orderkey % 7 = 0 THEN -1 - l_orderkey ELSE l_orderkey END AS VARCHAR)) AS _dlt_root_id,
+    """SELECT DISTINCT sha256(CAST(CASE WHEN l_orderkey % 7 = 0 THEN -1 - l_orderkey ELSE l_orderkey END AS VARCHAR)) AS _dlt_root_id,
        'https://show/api/character/' || l_partkey AS value FROM lineitem""",
 )
 
@@ -630,11 +630,11 @@ def location_residents(t: Tables) -> DataFrame:
     return t.lineitem.select(
         row_key(parent).alias("_dlt_root_id"),
         F.concat(F.lit("https://show/api/character/"), _text("l_partkey")).alias("value"),
-    )
+    ).distinct()
 
 
 piece(
     "location_residents",
-    """SELECT sha256(CAST(CASE WHEN l_suppkey % 4 = 0 THEN -1 - l_suppkey ELSE l_suppkey END AS VARCHAR)) AS _dlt_root_id,
+    """SELECT DISTINCT sha256(CAST(CASE WHEN l_suppkey % 4 = 0 THEN -1 - l_suppkey ELSE l_suppkey END AS VARCHAR)) AS _dlt_root_id,
        'https://show/api/character/' || l_partkey AS value FROM lineitem""",
 )

@@ -718,6 +718,23 @@ def publish_version(t: Tables) -> DataFrame:
     return sink.published(t.spark, "base", "suppliers")
 
 
+@query("publish_current", "SELECT s_suppkey, upper(s_name) AS s_name FROM supplier")
+def publish_current(t: Tables) -> DataFrame:
+    """Two versions of a table, read back by its name from the folder, as another session would."""
+    root = scratch_path(t.spark, "warehouse")
+    rows = t.supplier.select("s_suppkey", "s_name")
+    checks = [quality.NotNull("s_suppkey"), quality.Unique("s_suppkey")]
+    for version, df in (("1", rows), ("2", rows.withColumn("s_name", F.upper("s_name")))):
+        sink.publish(df, root, "base", "named_suppliers", version, checks=checks)
+    return sink.read_current(t.spark, root, "base", "named_suppliers")
+
+
+@query("published_view", "SELECT n_nationkey, n_name FROM nation")
+def published_view(t: Tables) -> DataFrame:
+    sink.publish_view(t.nation.select("n_nationkey", "n_name"), "staging", "nations")
+    return sink.published(t.spark, "staging", "nations")
+
+
 # ================================================================ history
 
 

@@ -3,9 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom.operators.merge import latest_per_key
 from lakeloom.plans import build as B
 from lakeloom.plans import contracts
-from lakeloom.sinks.publish import EmptyInput, published
+from lakeloom.sinks.publish import ChecksFailed, EmptyInput, current_version, published
 from lakeloom.sources import feeds as S
 from lakeloom.workload import inputs as I
 from lakeloom.workload.registry import Tables
@@ -47,6 +48,10 @@ def test_meals(t, tmp_path):
 
 def test_weather(t, tmp_path):
     feeds = {n: getattr(I, n)(t) for n in ("geo_cities", "daily_weather", "uv_index")}
+    with pytest.raises(ChecksFailed, match="base_uv"):  # a reading that landed twice
+        B.build_weather(feeds, str(tmp_path / "stopped"), "1", "2001-07-20")
+    assert current_version(t.spark, str(tmp_path / "stopped"), "base", "base_uv") is None
+    feeds["uv_index"] = latest_per_key(feeds["uv_index"], ["uv_time", "city"], ["uv"])
     b = B.build_weather(feeds, str(tmp_path), "1", "2001-07-20")
     assert b.tables["fact_weather"].count() == b.tables["base_weather"].count()
     assert b.tables["staging_uv_data_dates"].count() == 6
@@ -88,3 +93,10 @@ def test_freshness_report(t):
     got = {r.table_name: r.status for r in B.freshness_report(feeds, "2024-02-08 00:00:00").collect()}
     assert got == {"gsheet_finance_data": "warn", "daily_weather": "error"}
     assert set(contracts.FRESHNESS) == {"gsheet_finance_data", "uv_index", "daily_weather"}
+
+
+def test_reports_of_subjects_without_checks(t, tmp_path):
+    b = B.Build(str(tmp_path), "1")
+    b.table("base", "unchecked", t.nation)
+    assert b.report().count() == 0 and "status" in b.report().columns
+    assert B.freshness_report({"nation": t.nation}, "2025-05-01").count() == 0

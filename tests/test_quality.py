@@ -111,3 +111,15 @@ def test_publish_sorted(spark, tmp_path):
     for part in spark.read.parquet(str(tmp_path / "base" / "s")).rdd.glom().collect():
         values = [r.n for r in part]
         assert values == sorted(values)
+
+
+def test_only_versions_that_pass_become_current(spark, tmp_path):
+    root, checks = str(tmp_path), [Q.Unique("id")]
+    S.publish(spark.range(3), root, "base", "t", "1", checks=checks)
+    with pytest.raises(S.ChecksFailed, match="unique of id"):
+        S.publish(spark.range(2).union(spark.range(2)), root, "base", "t", "2", checks=checks)
+    assert S.current_version(spark.newSession(), root, "base", "t") == "1"
+    S.publish(spark.range(5), root, "base", "t", "3", checks=checks)
+    assert S.read_current(spark.newSession(), root, "base", "t").count() == 5
+    with pytest.raises(LookupError):
+        S.read_current(spark, root, "base", "other")
