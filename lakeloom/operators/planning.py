@@ -178,13 +178,16 @@ def missing_dates(
     )
 
 
-def work_list(dates: DataFrame, day: str, places: DataFrame, zone: str = V.SYDNEY) -> DataFrame:
+def work_list(
+    dates: DataFrame, day: str, places: DataFrame, zone: str = V.SYDNEY, newest: int = V.MISSING_DATE_LIMIT
+) -> DataFrame:
     """One request per place and date, stamped with local noon in UTC.
 
-    ``dates`` is a short list (the result of a top-k such as ``missing_dates``). It becomes one
+    The ``newest`` of the dates (as in ``missing_dates``, whose result they usually are) become one
     array value, a scalar subquery, that each place explodes; places are read once, in place.
     """
-    listed = dates.agg(F.sort_array(F.collect_list(day)).alias("dates")).scalar()
+    few = dates.select(day).orderBy(F.col(day).desc()).limit(newest)
+    listed = few.agg(F.sort_array(F.collect_list(day)).alias("dates")).scalar()
     return places.select("*", F.explode(listed).alias(day)).withColumn(
         "dt", utc_text_of_local_noon(day, zone)
     )

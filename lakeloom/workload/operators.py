@@ -234,8 +234,7 @@ def loaded_keys(t: Tables) -> DataFrame:
 )
 def detail_enrichment(t: Tables) -> DataFrame:
     cities = t.customer.select(
-        F.col("c_nationkey").alias("geonameId"),
-        "c_custkey",
+        F.col("c_custkey").alias("geonameId"),
         F.col("c_name").alias("name"),
         F.col("c_acctbal").alias("lat"),
         F.col("c_acctbal").alias("lng"),
@@ -243,18 +242,15 @@ def detail_enrichment(t: Tables) -> DataFrame:
         F.col("c_mktsegment").alias("country_code"),
     )
     named = F.when(F.col("n_regionkey") > 1, F.col("n_name")).when(F.col("n_regionkey") == 1, "")
-    details = t.nation.select(
-        F.col("n_nationkey").alias("geonameId"),
+    placed = t.customer.join(t.nation, F.col("n_nationkey") == F.col("c_nationkey"))
+    details = placed.select(
+        F.col("c_custkey").alias("geonameId"),
         named.alias("countryName"),
         F.col("n_name").alias("adminName1"),
         _text("n_regionkey").alias("adminCode1"),
         F.lit("OC").alias("continentCode"),
     )
-    # The detail row is found by nation here, so the city id is put back from the customer.
-    joined = feeds.cities_with_details(cities, details)
-    return joined.withColumn(
-        "city_id", F.regexp_extract("city", r"0*(\d+)$", 1).cast("bigint")
-    )
+    return feeds.cities_with_details(cities, details)
 
 
 def _activity_items(t: Tables) -> DataFrame:
