@@ -94,25 +94,25 @@ def rake(
     total = cells.agg(F.sum("tokens")).first()[0]
     if not total:
         return cells.withColumn("weight", F.lit(0.0))
+    names = [col(c) for c in cells.columns]
     raked = cells.withColumn("weight", F.col("tokens") / F.lit(float(total)))
     for sweep in range(sweeps):
-        worst = 0.0
+        raked = raked.withColumn("off", F.lit(0.0))
         for dimension, target in targets.items():
             margin = raked.groupBy(F.col(dimension).alias("value")).agg(F.sum("weight").alias("margin"))
-            factors = settle(
-                margin.alias("m")
-                .join(target.alias("t"), F.col("m.value").eqNullSafe(F.col("t.value")))
-                .select("m.value", F.try_divide("share", "margin").alias("factor"), "share", "margin"),
-                f"factors-{sweep}-{dimension}",
+            factors = margin.alias("m").join(target.alias("t"), F.col("m.value").eqNullSafe(F.col("t.value"))).select(
+                F.col("m.value").alias("value"), "margin", "share"
             )
-            off = factors.filter("share > 0").agg(F.max(F.abs(F.col("margin") / F.col("share") - 1))).first()[0]
-            worst = max(worst, off or 0.0)
+            scale = F.coalesce(F.try_divide("share", "margin"), F.lit(0.0))
+            off = F.when(F.col("share") > 0, F.abs(F.col("margin") / F.col("share") - 1)).otherwise(0.0)
             raked = settle(
                 raked.join(factors, F.col(dimension).eqNullSafe(F.col("value"))).select(
-                    *[col(c) for c in cells.columns], (F.col("weight") * F.coalesce("factor", F.lit(0.0))).alias("weight")
+                    *names, (F.col("weight") * scale).alias("weight"), F.greatest("off", off).alias("off")
                 ),
                 f"raked-{sweep}-{dimension}",
             )
+        worst = raked.agg(F.max("off")).first()[0]
+        raked = raked.drop("off")
         if worst <= tolerance:
             break
     return raked
