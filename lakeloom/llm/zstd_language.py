@@ -58,14 +58,16 @@ def learn(
     """
     known = labelled.select(col(lang).cast("string").alias("lang"), col(text).cast("string").alias("text"))
     known = known.filter("lang is not null and text is not null")
-    common = sorted((-r[1], r[0]) for r in known.groupBy("lang").count().collect())
-    # hashes are even, so a share of them holds the smallest; copies of a text count once
+    known = known.withColumn("mark", F.xxhash64("text"))
+    texts_of = known.groupBy("lang", "mark").agg(F.count("*").alias("copies")).groupBy("lang")
+    counted = texts_of.agg(F.sum("copies").alias("copies"), F.count("*").alias("distinct_texts")).collect()
+    common = sorted((-r["copies"], r["lang"]) for r in counted)
+    # hashes are even, so a share of the distinct ones holds the smallest, however often a text is repeated
     share = F.lit(1.0)
-    for n, name in common:
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, 8 * sample_texts / -n))).otherwise(share)
-    few = known.withColumn("mark", F.xxhash64("text")).filter(
-        F.shiftrightunsigned("mark", 11) / F.lit(float(1 << 53)) < share
-    )
+    for r in counted:
+        part = min(1.0, 8 * sample_texts / r["distinct_texts"])
+        share = F.when(F.col("lang") == r["lang"], F.lit(part)).otherwise(share)
+    few = known.filter(F.shiftrightunsigned("mark", 11) / F.lit(float(1 << 53)) < share)
     few = few.groupBy("lang", "mark").agg(F.min("text").alias("text"))
     ranked = few.withColumn(
         "place", F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("mark", 11), "mark"))

@@ -153,6 +153,17 @@ def test_language_of_odd_rows(spark):
     assert judged.filter(zstd_language.rejected()).count() == 4
 
 
+def test_a_language_of_copies_has_a_dictionary(spark):
+    """Whatever the hash of the one text is, also among rows of a language with many texts."""
+    texts = {f"l{i}": f"{w} only words of this language {w} {w}" for i, w in enumerate("abelu kodri mintas ferrog sulipe".split())}
+    df = spark.createDataFrame(list(texts.items()), "lang string, text string")
+    copies = df.crossJoin(spark.range(10_000)).select("lang", "text")
+    varied = spark.range(9000).select(F.lit("en").alias("lang"), F.concat(F.lit("the number "), F.sha1(F.col("id").cast("string"))).alias("text"))
+    found = zstd_language.learn(copies.union(varied))
+    assert {name: found.get(name) for name in texts} == {name: zstd_language.plain(t) for name, t in texts.items()}
+    assert found["en"].count(b"the number") == zstd_language.SAMPLE_TEXTS
+
+
 # --- mixing --------------------------------------------------------------------------------
 
 
