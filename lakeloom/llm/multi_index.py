@@ -26,21 +26,29 @@ from lakeloom.llm.shared import col, settle
 CROWDED = 32
 
 
-def simhash(text: str | None, words: int = 3, seed: int = 42) -> int:
-    """Bits that more than half of the shingles' XXH64 have set; zero without words."""
+def shingle_hashes(text: str | None, words: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of each run of ``words`` words; a shorter text is one run, one without words has none."""
     parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not parts:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     joined = b" ".join(parts)
     n = len(parts) - words + 1
     digest = xxhash.xxh64_intdigest
     if n <= 1:
-        return digest(joined, seed)
+        return np.array([digest(joined, seed)], dtype=np.uint64)
     sizes = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) + 1
     ends = np.cumsum(sizes)
     starts = ends - sizes
     pairs = zip(starts[:n].tolist(), (ends[words - 1 :] - 1).tolist())
-    hashes = np.fromiter((digest(joined[a:b], seed) for a, b in pairs), dtype=np.uint64, count=n)
+    return np.fromiter((digest(joined[a:b], seed) for a, b in pairs), dtype=np.uint64, count=n)
+
+
+def simhash(text: str | None, words: int = 3, seed: int = 42) -> int:
+    """Bits that more than half of the shingles' XXH64 have set; zero without words."""
+    hashes = shingle_hashes(text, words, seed)
+    n = len(hashes)
+    if n <= 1:
+        return int(hashes[0]) if n else 0
     counts = np.zeros(64, dtype=np.int64)
     for at in range(0, n, 1 << 14):  # a long text must not unpack all its bits at once
         some = hashes[at : at + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
@@ -178,10 +186,16 @@ def one_of_each(
     marked = settle(
         fingerprints(docs, doc_id, text, words, kept=[mark.alias("mark")]), "fingerprints"
     )
+    return chosen(docs, marked.join(_labels(marked, distance), "bits"), doc_id, text)
+
+
+def chosen(docs: DataFrame, labelled: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that ``one_of_each`` keeps; ``labelled`` has doc_id, mark and root of every row."""
+    mark = F.xxhash64(F.coalesce(col(text).cast("string"), F.lit("")))
     best = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")
-    chosen = (
-        marked.join(_labels(marked, distance), "bits").groupBy("root").agg(F.min(best).alias("best"))
-    ).select(F.coalesce("best.doc_id", F.lit(0)).alias("chosen_id"), "best.nameless", "best.mark")
+    chosen = labelled.groupBy("root").agg(F.min(best).alias("best")).select(
+        F.coalesce("best.doc_id", F.lit(0)).alias("chosen_id"), "best.nameless", "best.mark"
+    )
     rows = docs.select(
         F.struct(*[col(c) for c in docs.columns]).alias("document"),
         F.coalesce(col(doc_id), F.lit(0)).alias("chosen_id"),
