@@ -2,10 +2,10 @@
 
 A k-mer of a text's UTF-8 bytes is an anchor if the smallest of its inner s-mers (by a mixed
 value) stands at one of its ends. Whether a k-mer is chosen depends on nothing outside it, so the
-anchors of a text put together from two others are their anchors plus those across the seam. The
-fingerprint is the smallest ``SIZE`` distinct anchor hashes (all of them for short texts); the
-likeness of two is the share of the smallest hashes of both that both have, which estimates the
-Jaccard similarity of the anchor sets and is exact for short texts.
+anchors of a text put together from two others are their anchors plus those across the seam. All
+anchors are kept, with their positions: the likeness of two texts is the Jaccard similarity of their
+distinct anchor hashes, and a passage that both have is found as the longest run of anchors of the same
+hashes and distances. The fingerprint that is shown is the ``SIZE`` smallest hashes.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ INNER = 8
 #: inner substrings in a k-mer, so k is 23 and one k-mer in eight is chosen
 WINDOW = 16
 K = INNER + WINDOW - 1
-#: hashes in a fingerprint
+#: hashes in a fingerprint that is shown; nothing is computed from it
 SIZE = 128
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -63,35 +63,75 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at, (mixed >> np.uint64(32)).astype(np.uint32)
 
 
-def sketch(hashes: np.ndarray, data: bytes) -> np.ndarray:
-    """The smallest hashes; a text without an anchor is its own, an empty one has none."""
+def distinct(hashes: np.ndarray, data: bytes) -> np.ndarray:
+    """The distinct hashes, in order; a text without an anchor is its own, an empty one has none."""
     if not len(hashes):
         if not data:
             return hashes
         return np.frombuffer(hashlib.sha256(data).digest()[:4], "<u4")
-    return np.unique(hashes)[:SIZE]
+    return np.unique(hashes)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """0 to 1; two empty fingerprints are alike."""
+    """0 to 1, of distinct hashes; two empty sets are alike."""
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    both = np.union1d(a, b)[:SIZE]
-    return float(np.count_nonzero(np.isin(both, a) & np.isin(both, b)) / len(both))
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / (len(a) + len(b) - common)
+
+
+def _stretches(at: np.ndarray, hashes: np.ndarray, length: int) -> np.ndarray:
+    """A hash of each stretch of ``length`` anchors: their hashes and the distances between them."""
+    n = len(hashes) - length + 1
+    out = np.zeros(max(n, 0), dtype=np.uint64)
+    if n <= 0:
+        return out
+    # doubling: a stretch is hashed from two that overlap
+    out, size = hashes.astype(np.uint64) * _A, 1
+    while size < length:
+        step = min(size, length - size)
+        gaps = (at[step : step + len(out) - step] - at[: len(out) - step]).astype(np.uint64)
+        out = (out[:-step] * _B) ^ (out[step:] * _C + gaps * _A)
+        out ^= out >> np.uint64(29)
+        size += step
+    return out
+
+
+def passage(own: Marked, other: Marked) -> tuple[int, int, int]:
+    """(position in own, position in other, bytes) of the longest run of anchors that both texts have
+    at the same distances; of ties the first in own. No bytes if they have no anchor in common."""
+
+    def met(length: int) -> tuple[int, int] | None:
+        a, b = _stretches(own.at, own.hashes, length), _stretches(other.at, other.hashes, length)
+        where = np.flatnonzero(np.isin(a, b))
+        return (int(where[0]), int(np.flatnonzero(b == a[where[0]])[0])) if len(where) else None
+
+    low, high, found = 0, min(len(own.hashes), len(other.hashes)), None
+    while low < high:  # a run has all shorter ones in it
+        middle = (low + high + 1) // 2
+        pair = met(middle)
+        if pair is None:
+            high = middle - 1
+        else:
+            low, found = middle, pair
+    if found is None:
+        return 0, 0, 0
+    i, j = found
+    return int(own.at[i]), int(other.at[j]), int(own.at[i + low - 1] - own.at[i]) + K
 
 
 class Marked:
-    """A text with its anchors and fingerprint."""
+    """A text with its anchors and their distinct hashes."""
 
     def __init__(self, text: str | None):
         self.text = text or ""
         self.data = self.text.encode("utf-8", "surrogatepass")
         self.at, self.hashes = anchors(self.data)
-        self.print = sketch(self.hashes, self.data)
+        self.print = distinct(self.hashes, self.data)
 
 
 def edited(own: Marked, following: Marked) -> tuple[bytes, np.ndarray]:
-    """The edited text (the latter half replaced from the next text) and its fingerprint.
+    """The edited text (the latter half replaced from the next text) and its distinct hashes.
 
     Anchors that lie in either half are taken over; only the seam is looked at again.
     """
@@ -100,7 +140,7 @@ def edited(own: Marked, following: Marked) -> tuple[bytes, np.ndarray]:
     b = following.text[: n // 2].encode("utf-8", "surrogatepass")
     seam = anchors(a[-(K - 1) :] + b[: K - 1])[1] if a and b else own.hashes[:0]
     hashes = np.concatenate([own.hashes[own.at <= len(a) - K], following.hashes[following.at <= len(b) - K], seam])
-    return a + b, sketch(hashes, a + b)
+    return a + b, distinct(hashes, a + b)
 
 
 def _shown(hashes: np.ndarray) -> str:
@@ -112,10 +152,13 @@ def _row(own: Marked, following: Marked) -> tuple:
     return (
         len(own.text),
         hashlib.sha256(data).hexdigest(),
-        _shown(own.print),
-        _shown(changed),
+        _shown(own.print[:SIZE]),
+        _shown(changed[:SIZE]),
         likeness(own.print, changed),
         likeness(own.print, following.print),
+        *passage(own, following),
+        own.at.astype(np.int32),
+        own.hashes.astype(np.int64),
     )
 
 
@@ -126,8 +169,14 @@ _RESULT = [
     ("edited_fingerprint", "string"),
     ("near_edited", "double"),
     ("near_next", "double"),
+    ("passage_at", "long"),
+    ("passage_next_at", "long"),
+    ("passage_bytes", "long"),
+    ("anchor_at", "array<int>"),
+    ("anchor_hash", "array<long>"),
 ]
-_KINDS = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
+_KINDS = {"long": pa.int64(), "string": pa.string(), "double": pa.float64(),
+          "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64())}
 
 
 def _buckets(kept: DataFrame, number: int) -> DataFrame:
@@ -145,7 +194,8 @@ def _buckets(kept: DataFrame, number: int) -> DataFrame:
 
 
 def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Each text's fingerprint, and its likeness to an edited form and to the next document.
+    """Each text's anchors, fingerprint, likeness to an edited form and to the next document, and the
+    longest passage (positions in bytes) that it shares with the next.
 
     The next document is the one before in ascending doc_id; the last takes the first. Null texts
     are empty. Rows without a doc_id come last; rows that repeat one stand in the order of a hash of

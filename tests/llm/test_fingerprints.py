@@ -95,6 +95,18 @@ def test_edits_of_repeats_nulls_and_nothing(spark):
     assert alone.near_next == 1.0
 
 
+def test_long_texts_show_a_short_passage_they_share(spark):
+    rng = random.Random(8)
+    one, other, shared = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(n)) for n in (10_000, 10_000, 60))
+    a, b = f"{one} {shared} {other[:900]}", f"{other[900:]} {shared} {one[::-1]}"
+    first = syncmers.fingerprint_edits(frame(spark, [b, a], [1, 2])).filter("doc_id = 2").first()
+    x, y = set(syncmers.anchors(a.encode())[1].tolist()), set(syncmers.anchors(b.encode())[1].tolist())
+    assert first.near_next == len(x & y) / len(x | y) > 0
+    assert list(zip(first.anchor_at, first.anchor_hash)) == list(zip(*(v.tolist() for v in syncmers.anchors(a.encode()))))
+    start, there, size = first.passage_at, first.passage_next_at, first.passage_bytes
+    assert a[start : start + size] == b[there : there + size] and size > 0.8 * len(shared)
+
+
 def plain_simhash(text):
     words = [w for w in "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").encode().split()]
     if not words:
