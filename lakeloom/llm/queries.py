@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import importance, main_region, multi_index, nn_descent, raking, re_pair, sum_squares, syncmers, warc, zstd_language
+from lakeloom.llm import (
+    clause_grammar,
+    importance,
+    lyndon_runs,
+    main_region,
+    multi_index,
+    nn_descent,
+    raking,
+    re_pair,
+    spill_count,
+    sum_squares,
+    syncmers,
+    warc,
+    zstd_language,
+)
 from lakeloom.llm.shared import table
 from lakeloom.llm.tokens import default_tokenizer
 
@@ -55,6 +69,18 @@ def op10_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_spill_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spill_count.align(table(spark, sf_dir, "documents"))
+
+
+def op12_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clause_grammar.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_lyndon_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lyndon_runs.detect(table(spark, sf_dir, "documents"), planted=True)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -68,6 +94,9 @@ QUERIES: dict[str, Query] = {
         op8_multi_index_simhash,
         op9_sum_of_squares_packing,
         op10_sharded_warc,
+        op11_spill_counting,
+        op12_clause_grammar,
+        op13_lyndon_runs,
     )
 }
 
