@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import importance, raking, similar, sum_squares, zstd_language
+from lakeloom.llm import importance, multi_index, raking, sum_squares, zstd_language
 from lakeloom.llm.shared import col, settle, table
 from lakeloom.llm.tokens import default_tokenizer
 
@@ -40,8 +40,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies: 0.8 or more of five-word shingles in common."""
-    return similar.one_of_each(docs)
+    """One document of each group whose fingerprints of three-word shingles are linked within two bits."""
+    return multi_index.one_of_each(docs, words=3, distance=2)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
