@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 #: Spark settings every job of the library assumes. Nothing here fixes the degree of
@@ -65,6 +66,31 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(hadoop):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(hadoop) if s.isDirectory()]
+
+
+def move_folder(spark: SparkSession, path: str, to: str) -> bool:
+    """Give a folder its final name; False if something has that name already, which then stays."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    context = hadoop.FileContext.getFileContext(
+        hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration()
+    )
+    none = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
+    try:
+        context.rename(hadoop.Path(path), hadoop.Path(to), none)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def remove_scratch(spark: SparkSession) -> None:
     """Delete what this application has settled; for the end of a run, when its results are written."""
     remove_folder(spark, f"{shared_dir(spark)}/lakeloom/{spark.sparkContext.applicationId}")

@@ -20,6 +20,7 @@ from lakeloom.operators.merge import (
     replace_table,
     upsert_table,
 )
+from lakeloom.operators.versioned import merge_table
 from lakeloom.session import settle
 
 
@@ -55,14 +56,23 @@ def merge_stream(
     partition_by: Sequence[str] = (),
     available_now: bool = True,
     interval: str = "1 minute",
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Merge each micro-batch into the table at ``target``.
 
-    A batch that is replayed after a failure merges the same rows again, to the same result.
+    With ``buckets`` the table is a bucketed one with versions (``read_table`` reads it): a micro-batch
+    writes the buckets it falls into, and readers see whole versions. That is the way for large
+    tables; else all rows, or with ``partition_by`` whole partitions, are written again. A batch
+    that is replayed after a failure merges the same rows again, to the same result.
     """
+    if buckets and partition_by:
+        raise ValueError("a table has buckets or partitions")
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        upsert_table(batch, target, keys, newest_first, partition_by)
+        if buckets:
+            merge_table(batch, target, keys, newest_first, buckets)
+        else:
+            upsert_table(batch, target, keys, newest_first, partition_by)
 
     return _start(stream.writeStream.foreachBatch(merge), checkpoint, available_now, interval)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import columns as C
 from lakeloom.functions import fixed_values as V
-from lakeloom.operators import dims, history, joins, merge, permute, planning, quality, windows
+from lakeloom.operators import dims, history, joins, merge, permute, planning, quality, versioned, windows
 from lakeloom.session import scratch_path, settle
 from lakeloom.sinks import publish as sink
 from lakeloom.sources import feeds, landing
@@ -680,6 +680,26 @@ def merge_into_partitions(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+@query(
+    "merge_into_buckets",
+    f"""SELECT cust, {day_sql('day')} AS day, price, seq
+        FROM (SELECT *, row_number() OVER (PARTITION BY cust, day ORDER BY load DESC, seq DESC) AS r
+              FROM (SELECT 1 AS load, o_custkey AS cust, CAST(o_orderdate AS DATE) AS day, o_totalprice AS price,
+                           o_orderkey AS seq FROM orders WHERE year(o_orderdate) < 1998
+                    UNION ALL
+                    SELECT 2, o_custkey, CAST(o_orderdate AS DATE), o_totalprice + 1, o_orderkey FROM orders
+                    WHERE year(o_orderdate) >= 1997))
+        WHERE r = 1""",
+)
+def merge_into_buckets(t: Tables) -> DataFrame:
+    """Two loads into a table of hash buckets; readers see its versions."""
+    path = scratch_path(t.spark, "orders-in-buckets")
+    stored, updates = _stored_and_updates(t)
+    for load in (stored, updates):
+        versioned.merge_table(load, path, ["cust", "day"], ["seq"], buckets=8)
+    return versioned.read_table(t.spark, path)
+
+
 @query(
     "incremental_append",
     f"""SELECT o_orderkey, o_totalprice, {day_sql('o_orderdate')} AS day FROM orders WHERE o_orderstatus <> 'F'""",
@@ -1098,8 +1118,8 @@ def stream_merge(t: Tables) -> DataFrame:
     target, marks = scratch_path(t.spark, "last-events"), scratch_path(t.spark, "marks")
     rows = _event_stream(t).select("user_id", "event_type", "event_id", "ts", "value")
     newest = ["ts", "event_id"]
-    ingest.merge_stream(rows, target, marks, ["user_id", "event_type"], newest).awaitTermination()
-    return t.spark.read.parquet(target).drop("ts")
+    ingest.merge_stream(rows, target, marks, ["user_id", "event_type"], newest, buckets=8).awaitTermination()
+    return versioned.read_table(t.spark, target).drop("ts")
 
 
 @query(

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom.operators.versioned import read_table
 from lakeloom.streaming import ingest as I
 from tests.conftest import rows
 
@@ -33,6 +34,18 @@ def test_merge_stream_over_runs(spark, tmp_path):
     assert kept(spark, target) == [(1, "b"), (2, "d"), (3, "e")]
 
 
+def test_merge_stream_into_buckets(spark, tmp_path):
+    landed, target, marks = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "marks")
+    land(spark, landed, [(1, "a", 1), (1, "b", 2), (2, "c", 1)])
+    land(spark, landed, [(2, "d", 5), (3, "e", 5)])
+    stream = I.landing_stream(spark, str(landed), SCHEMA, files_per_batch=1)
+    for checkpoint in (marks, marks, f"{tmp_path}/fresh"):  # nothing new, then all of it again
+        I.merge_stream(stream, target, checkpoint, ["k"], ["ts"], buckets=4).awaitTermination()
+        assert rows(read_table(spark, target).select("k", "v")) == [(1, "b"), (2, "d"), (3, "e")]
+    with pytest.raises(ValueError, match="buckets or partitions"):
+        I.merge_stream(stream, target, marks, ["k"], ["ts"], ["k"], buckets=4)
+
+
 def test_append_stream_over_runs(spark, tmp_path):
     landed, target, marks = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "marks")
 
