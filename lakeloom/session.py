@@ -81,6 +81,8 @@ def move_folder(spark: SparkSession, path: str, to: str) -> bool:
     context = hadoop.FileContext.getFileContext(
         hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration()
     )
+    parent = hadoop.Path(to).getParent()
+    parent.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(parent)
     none = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 0)
     try:
         context.rename(hadoop.Path(path), hadoop.Path(to), none)

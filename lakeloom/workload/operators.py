@@ -7,7 +7,19 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import columns as C
 from lakeloom.functions import fixed_values as V
-from lakeloom.operators import dims, history, joins, merge, permute, planning, quality, versioned, windows
+from lakeloom.operators import (
+    dims,
+    history,
+    joins,
+    merge,
+    permute,
+    planning,
+    presence,
+    quality,
+    summaries,
+    versioned,
+    windows,
+)
 from lakeloom.session import scratch_path, settle
 from lakeloom.sinks import publish as sink
 from lakeloom.sources import feeds, landing
@@ -711,6 +723,46 @@ def incremental_append(t: Tables) -> DataFrame:
     return fresh.select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("day"))
 
 
+@query(
+    "append_by_presence",
+    """SELECT o_orderkey, o_totalprice, CASE o_orderstatus WHEN 'F' THEN 'finished' ELSE 'all' END AS batch FROM orders""",
+)
+def append_by_presence(t: Tables) -> DataFrame:
+    """Two batches into an indexed table: the finished orders, then all orders again."""
+    path = scratch_path(t.spark, "orders-by-batch")
+    rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    presence.append_indexed(rows.where("o_orderstatus = 'F'"), path, "finished", ["o_orderkey"])
+    presence.append_indexed(rows, path, "all", ["o_orderkey"])
+    return presence.read_batches(t.spark, path).drop("o_orderstatus")
+
+
+def _measured_sql(batch: int) -> str:
+    return f"""SELECT event_id, {batch} AS batch, CAST(round(CAST(high - low AS DECIMAL(38,10)), 2) AS DOUBLE) AS price_spread,
+       CAST(round(CAST(price - opened AS DECIMAL(38,10)), 2) AS DOUBLE) AS relative_price_movement,
+       CAST(round(CAST(closed - opened AS DECIMAL(38,10)), 2) AS DOUBLE) AS abs_price_movement,
+       entries AS num_stock_entries
+       FROM (SELECT event_id, value AS price, max(value) OVER s AS high, min(value) OVER s AS low,
+                    count(event_id) OVER s AS entries, first(value) OVER w AS opened, last(value) OVER w AS closed
+             FROM events WHERE event_id % 3 <= {batch}
+             WINDOW s AS (PARTITION BY event_type),
+                    w AS (PARTITION BY event_type ORDER BY ts, event_id
+                          ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+       WHERE event_id % 3 = {batch}"""
+
+
+@query("prices_by_batch", " UNION ALL ".join(f"({_measured_sql(b)})" for b in range(3)))
+def prices_by_batch(t: Tables) -> DataFrame:
+    """Ticks in three loads whose times mix, each measured over all ticks loaded so far."""
+    path = scratch_path(t.spark, "ticks-by-batch")
+    ticks = t.events.select("event_id", F.col("event_type").alias("stock"), F.col("value").alias("price"), "ts")
+    loads = []
+    for batch in range(3):
+        some = ticks.where(F.col("event_id") % 3 == batch)
+        found = summaries.append_measured(some, path, str(batch), "stock", "price", "ts", "event_id", fold_at=2)
+        loads.append(found.select("event_id", F.lit(batch).alias("batch"), *found.columns[4:]))
+    return loads[0].unionByName(loads[1]).unionByName(loads[2])
+
+
 @query("append_table", "SELECT o_orderkey, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_orderstatus FROM orders")
 def append_table(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "appended")
