@@ -205,6 +205,18 @@ def utc_text_of_local_noon(day: Column | str, zone: str = V.SYDNEY) -> Column:
     return F.date_format(F.to_utc_timestamp(_as_utc(noon), zone), "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def iso_in_zone(instant: Column | str, zone: Column | str) -> Column:
+    """ISO text of an instant, to the second, by the clock of ``zone`` and with its offset."""
+    at = F.date_trunc("SECOND", as_col(instant).cast("timestamp"))
+    local = F.from_utc_timestamp(at, zone)
+    minutes = F.floor((F.unix_timestamp(local) - F.unix_timestamp(at)) / 60).cast("int")
+    size = F.abs(minutes)
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    sign = F.when(minutes < 0, "-").otherwise("+")
+    offset = F.concat(sign, two(F.floor(size / 60)), F.lit(":"), two(F.pmod(size, F.lit(60))))
+    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), offset)
+
+
 def in_market_hours(wall_utc: Column | str, zone: str = V.SYDNEY) -> Column:
     """Monday to Friday, 10:00 to 16:00 inclusive, by the clock of ``zone``."""
     local = to_local(wall_utc, zone)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions import fixed_values as V
@@ -136,6 +136,48 @@ def next_ranges(
     )
 
 
+def loaded_spans(df: DataFrame, key: str, day: str) -> DataFrame:
+    """(key, span_start, span_end): the stretches of days in a row that each key has loaded."""
+    days = df.where(F.col(day).isNotNull()).select(key, F.col(day).cast("date").alias("__day")).distinct()
+    # days in a row less their number are one and the same day
+    number = F.row_number().over(Window.partitionBy(key).orderBy("__day"))
+    island = F.date_sub("__day", number)
+    return (
+        days.withColumn("__island", island)
+        .groupBy(key, "__island")
+        .agg(F.min("__day").alias("span_start"), F.max("__day").alias("span_end"))
+        .drop("__island")
+    )
+
+
+def missing_spans(
+    wanted: DataFrame, spans: DataFrame, key: str, start: str = "start_date", end: str = "end_date"
+) -> DataFrame:
+    """(key, missing_start, missing_end): what of each wanted range no loaded span covers, holes included.
+
+    The exact counterpart of ``next_ranges``, which looks at the first and last day only. ``spans``
+    are those of ``loaded_spans``, or any that do not overlap; ranges that end before they start
+    want nothing.
+    """
+    asked = wanted.where(F.col(start) <= F.col(end)).select(
+        key, F.col(start).cast("date").alias("__first"), F.col(end).cast("date").alias("__last")
+    )
+    inside = asked.join(spans.where(F.col(key).isNotNull()), key).where(
+        (F.col("span_start") <= F.col("__last")) & (F.col("span_end") >= F.col("__first"))
+    )
+    # each covered stretch ends what may be missing before it, and so does the end of the range
+    stops = inside.select(key, "__first", "__last", "span_start", "span_end").unionByName(
+        asked.withColumns({"span_start": F.date_add("__last", 1), "span_end": F.lit(None).cast("date")})
+    )
+    ordered = Window.partitionBy(key, "__first", "__last").orderBy("span_start")
+    return (
+        stops.withColumn("missing_start", F.coalesce(F.date_add(F.lag("span_end").over(ordered), 1), "__first"))
+        .withColumn("missing_end", F.date_sub("span_start", 1))
+        .where(F.col("missing_start") <= F.col("missing_end"))
+        .select(key, "missing_start", "missing_end")
+    )
+
+
 def year_chunks(ranges: DataFrame, start: str = "start_date", end: str = "end_date") -> DataFrame:
     """Split each range at the turns of the year. A range that ends before it starts has none."""
     others = [c for c in ranges.columns if c not in (start, end)]

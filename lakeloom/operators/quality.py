@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, types as T
+from pyspark.sql import Column, DataFrame, Observation, types as T
 from pyspark.sql import functions as F
 
 from lakeloom.operators.joins import anti_join
@@ -120,6 +120,23 @@ def run_checks(
     return result.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
 
 
+def observed(df: DataFrame, checks: Sequence[Check], where: Column | None = None) -> tuple[DataFrame, Observation]:
+    """``df`` that counts its rows, and the failures of the checks on one row, while it is written.
+
+    The counts are there once the write is done. ``where`` says which rows the checks look at.
+    """
+    seen = F.lit(True) if where is None else where
+    counts = [F.count_if(_bad_row(c)[1] & seen).alias(f"check_{i}") for i, c in enumerate(checks) if _bad_row(c)]
+    observation = Observation()
+    return df.observe(observation, F.count(F.lit(1)).alias("row_count"), *counts), observation
+
+
+def observed_failures(checks: Sequence[Check], observation: Observation) -> list[tuple[str, str, int]]:
+    """(check, column, failures) of the checks on one row, as the write has counted them."""
+    found = observation.get
+    return [(_bad_row(c)[0], c.column, found[f"check_{i}"]) for i, c in enumerate(checks) if _bad_row(c)]
+
+
 class ContractError(ValueError):
     pass
 

@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from lakeloom.operators.history import current_rows
-from lakeloom.operators.merge import append_table, read_if_exists
-from lakeloom.operators.quality import Check, enforce_contract, run_checks
+from lakeloom.operators.quality import (
+    Check,
+    Related,
+    Unique,
+    enforce_contract,
+    observed,
+    observed_failures,
+    run_checks,
+)
+from lakeloom.session import move_folder, remove_folder, subfolders
 
 
 class EmptyInput(RuntimeError):
@@ -45,23 +54,31 @@ def publish(
     disturbed, and a failed write is simply written again. A version that fails one of its
     ``checks`` is not entered, and the build stops. ``sort_by`` orders the rows within
     each file, which narrows the ranges the files are skipped by; it is no order of the table.
+    Checks on one row are counted while the rows are written; only keys and references are
+    looked up afterwards.
     """
     if contract is not None:
         df = enforce_contract(df, contract)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
     path = f"{root.rstrip('/')}/{layer}/{name}/version={version}"
+    current = F.col("dbt_valid_to").isNull() if "dbt_valid_to" in df.columns else None
+    schema = df.schema
+    df, observation = observed(df, checks, current)
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         *partition_by
     ).parquet(path)
-    published = df.sparkSession.read.schema(df.schema).parquet(path)
-    if checks:
-        rows = current_rows(published) if "dbt_valid_to" in published.columns else published
-        failed = run_checks(rows, checks, parents or {}).where("status = 'fail'").collect()
-        if failed:
-            shown = ", ".join(f"{r['check']} of {r['column']} ({r['failures']})" for r in failed)
-            raise ChecksFailed(f"{layer}.{name}, version {version}: {shown}")
-    _enter(df.sparkSession, root, layer, name, version)
+    published = df.sparkSession.read.schema(schema).parquet(path)
+    failed = [f for f in observed_failures(checks, observation) if f[2]]
+    others = [c for c in checks if isinstance(c, (Unique, Related))]
+    if others:
+        rows = current_rows(published) if current is not None else published
+        found = run_checks(rows, others, parents or {}).where("status = 'fail'").collect()
+        failed += [(r["check"], r["column"], r["failures"]) for r in found]
+    if failed:
+        shown = ", ".join(f"{check} of {column} ({n})" for check, column, n in failed)
+        raise ChecksFailed(f"{layer}.{name}, version {version}: {shown}")
+    _enter(df.sparkSession, root, layer, name, version, observation.get["row_count"])
     published.createOrReplaceTempView(f"{layer}__{name}")
     return published
 
@@ -85,17 +102,47 @@ def _entries(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}__versions"
 
 
-def _enter(spark: SparkSession, root: str, layer: str, name: str, version: str) -> None:
-    entered = read_if_exists(spark, _entries(root, layer, name))
-    last = 0 if entered is None else entered.agg(F.max("place")).head()[0] or 0
-    entry = spark.range(1).select(F.lit(last + 1).cast("long").alias("place"), F.lit(version).alias("version"))
-    append_table(entry, _entries(root, layer, name))
+class PublishedMeanwhile(RuntimeError):
+    """Another publisher entered a version first; this one's rows are written but not current."""
+
+
+def _places(spark: SparkSession, root: str, layer: str, name: str) -> list[int]:
+    return sorted(int(n.partition("=")[2]) for n in subfolders(spark, _entries(root, layer, name)) if n.startswith("place="))
+
+
+def _enter(spark: SparkSession, root: str, layer: str, name: str, version: str, row_count: int) -> None:
+    """Enter a version as current: one place holds one entry, and the later of two publishers fails."""
+    place = max(_places(spark, root, layer, name), default=0) + 1
+    written = f"{_entries(root, layer, name)}/_new-{uuid.uuid4().hex}"
+    entry = spark.range(1).select(F.lit(version).alias("version"), F.lit(row_count).cast("long").alias("row_count"))
+    entry.write.parquet(written)
+    if not move_folder(spark, written, f"{_entries(root, layer, name)}/place={place}"):
+        raise PublishedMeanwhile(f"{layer}.{name}: place {place} was taken while version {version} was published")
 
 
 def current_version(spark: SparkSession, root: str, layer: str, name: str) -> str | None:
     """The version that was entered last, whichever session published it."""
-    entered = read_if_exists(spark, _entries(root, layer, name))
-    return None if entered is None else entered.agg(F.max_by("version", "place")).head()[0]
+    places = _places(spark, root, layer, name)
+    if not places:
+        return None
+    return spark.read.parquet(f"{_entries(root, layer, name)}/place={places[-1]}").head()["version"]
+
+
+def load_log(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
+    """place, version and row_count of every version that became current."""
+    return spark.read.parquet(_entries(root, layer, name)).select("place", "version", "row_count")
+
+
+def remove_old_versions(spark: SparkSession, root: str, layer: str, name: str, keep: int = 2) -> list[str]:
+    """Remove the rows of versions entered before the last ``keep`` ones; their entries stay. Returns their names."""
+    entered = load_log(spark, root, layer, name).orderBy("place").select("version").collect()
+    order = [r["version"] for r in entered]
+    kept = set(order[-max(1, keep) :])
+    folders = subfolders(spark, f"{root.rstrip('/')}/{layer}/{name}")
+    gone = sorted({v for v in order if v not in kept and f"version={v}" in folders})
+    for version in gone:
+        remove_folder(spark, f"{root.rstrip('/')}/{layer}/{name}/version={version}")
+    return gone
 
 
 def read_current(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:

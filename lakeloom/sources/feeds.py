@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions import fixed_values as V
-from lakeloom.functions.columns import first_filled, last_segment
+from lakeloom.functions.columns import first_filled, iso_in_zone, last_segment
 from lakeloom.operators.planning import after_cursor
 from lakeloom.sources import landing as L
 
@@ -195,6 +195,12 @@ def uv_index(payloads: DataFrame, load_ts: Column) -> DataFrame:
     return L.flatten_structs(rows)
 
 
+def stamp_of_place(instant: Column | str, city: str = "city") -> Column:
+    """Load stamp as ISO text by the clock of the place that a payload is of; null for a place that is not configured."""
+    zones = F.create_map(*[F.lit(x) for name, _, _, zone, _ in V.WEATHER_PLACES for x in (name, zone)])
+    return iso_in_zone(instant, F.try_element_at(zones, F.col(city)))
+
+
 def weather_places(spark: SparkSession, with_uv: bool = False) -> DataFrame:
     """The configured places (a fixed list of fifteen)."""
     places = V.WEATHER_PLACES[: V.UV_PLACES] if with_uv else V.WEATHER_PLACES

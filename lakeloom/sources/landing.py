@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, types as T
 from pyspark.sql import functions as F
 
 from lakeloom.functions.columns import row_key
@@ -66,6 +66,20 @@ def read_csv_metrics(spark: SparkSession, path: str, header: Sequence[str]) -> D
     return csv_metrics(spark.read.text(path), header)
 
 
+def load_csv(lines: DataFrame, header: Sequence[str], to: str, value: str = "value") -> dict:
+    """Write the good rows of the lines, or records, to ``to``; row_count, malformed_rows and headers of the load.
+
+    The numbers are counted while the rows are written, so the file is read once.
+    """
+    seen = Observation()
+    fields = csv_lines(lines, header, value).observe(
+        seen, F.count(F.lit(1)).alias("row_count"), F.count_if(~F.col("__ok")).alias("malformed_rows")
+    )
+    good = fields.where("__ok").select(*[F.col("__f")[i].alias(name) for i, name in enumerate(header)])
+    good.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(to)
+    return {**seen.get, "headers": ", ".join(header)}
+
+
 # ---------------------------------------------------------------- JSON payloads
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions import columns as C
 from lakeloom.functions import fixed_values as V
 from lakeloom.operators import (
+    changes,
     dims,
     history,
     joins,
@@ -22,7 +23,7 @@ from lakeloom.operators import (
 )
 from lakeloom.session import scratch_path, settle
 from lakeloom.sinks import publish as sink
-from lakeloom.sources import feeds, landing
+from lakeloom.sources import feeds, landing, records
 from lakeloom.streaming import ingest
 from lakeloom.workload.registry import Tables, day_sql, key_sql, piece, query, six, six_sql, time_sql
 
@@ -75,6 +76,44 @@ def csv_load_metrics(t: Tables) -> DataFrame:
     return landing.csv_metrics(_csv_text(t), ["id", "name", "segment"])
 
 
+@query(
+    "csv_records_file",
+    r"""SELECT CAST(c_custkey AS VARCHAR) AS id,
+        CASE c_mktsegment WHEN 'BUILDING' THEN c_name || chr(10) || 'of "B",' || chr(10) WHEN 'MACHINERY' THEN c_name || '"x'
+             ELSE c_name END AS name, c_mktsegment AS segment
+        FROM customer WHERE c_mktsegment <> 'FURNITURE'""",
+)
+def csv_records_file(t: Tables) -> DataFrame:
+    """Landed files whose quoted fields hold line breaks, commas and quotes."""
+    landed = scratch_path(t.spark, "landed-csv")
+    segment = F.col("c_mktsegment")
+    quoted = F.concat(F.lit('"'), "c_name", F.lit('\nof ""B"",\n"'))
+    name = F.when(segment == "BUILDING", quoted).when(segment == "MACHINERY", F.concat("c_name", F.lit('"x'))).otherwise(F.col("c_name"))
+    more = F.when(segment == "FURNITURE", ",extra").otherwise("")
+    t.customer.select(F.concat(_text("c_custkey"), F.lit(","), name, F.lit(","), segment, more)).write.text(landed)
+    return records.read_csv_records(t.spark, landed, ["id", "name", "segment"])
+
+
+@query(
+    "csv_load_observed",
+    """SELECT count(*) AS row_count,
+       count(*) FILTER (c_mktsegment = 'FURNITURE' OR (c_mktsegment = 'HOUSEHOLD' AND c_acctbal < 0)) AS malformed_rows,
+       'id, name, segment' AS headers,
+       count(*) FILTER (c_mktsegment <> 'FURNITURE' AND NOT (c_mktsegment = 'HOUSEHOLD' AND c_acctbal < 0)) AS stored
+       FROM customer""",
+)
+def csv_load_observed(t: Tables) -> DataFrame:
+    """The numbers of a load, counted while it writes, beside the rows it stored."""
+    to = scratch_path(t.spark, "loaded-csv")
+    found = landing.load_csv(_csv_text(t), ["id", "name", "segment"], to)
+    return t.spark.read.parquet(to).agg(
+        F.lit(found["row_count"]).alias("row_count"),
+        F.lit(found["malformed_rows"]).alias("malformed_rows"),
+        F.lit(found["headers"]).alias("headers"),
+        F.count(F.lit(1)).alias("stored"),
+    )
+
+
 @query(
     "table_metrics",
     """SELECT 'events' AS table_name, count(*) AS row_count, 'event_id, ts, user_id, event_type, value, props' AS columns
@@ -786,6 +825,49 @@ def publish_version(t: Tables) -> DataFrame:
     return sink.published(t.spark, "base", "suppliers")
 
 
+@query("publish_sorted", "SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity FROM lineitem")
+def publish_sorted(t: Tables) -> DataFrame:
+    """A table whose files are sorted by two columns and partitioned by a third."""
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity")
+    root = scratch_path(t.spark, "warehouse")
+    by, order = ("l_returnflag",), ("l_orderkey", "l_linenumber")
+    return sink.publish(rows, root, "common", "shipped", "1", partition_by=by, sort_by=order)
+
+
+@query(
+    "listed_balances",
+    """SELECT s_nationkey, s_acctbal, s_suppkey FROM supplier
+       ORDER BY s_nationkey DESC NULLS LAST, s_acctbal DESC NULLS LAST, s_suppkey DESC NULLS LAST LIMIT 40""",
+)
+def listed_balances(t: Tables) -> DataFrame:
+    """The first 40 rows of a table read as a list, in descending order of three columns."""
+    rows = t.supplier.select("s_nationkey", "s_acctbal", "s_suppkey")
+    return sink.listed(rows, "s_nationkey", "s_acctbal", "s_suppkey").limit(40)
+
+
+_STAMPED = {"1-URGENT": "Sydney", "2-HIGH": "Perth", "3-MEDIUM": "Darwin", "4-NOT SPECIFIED": "Wellington"}
+
+
+@query(
+    "stamps_of_places",
+    """WITH stamped AS (SELECT o_orderkey, city, o_orderdate AS placed, o_orderdate AT TIME ZONE 'UTC' AT TIME ZONE zone AS here
+           FROM orders JOIN (VALUES ('1-URGENT', 'Sydney', 'Australia/Sydney'), ('2-HIGH', 'Perth', 'Australia/Perth'),
+               ('3-MEDIUM', 'Darwin', 'Australia/Darwin'), ('4-NOT SPECIFIED', 'Wellington', 'Pacific/Auckland')) AS z(priority, city, zone)
+           ON o_orderpriority = priority)
+       SELECT o_orderkey, city, strftime(here, '%Y-%m-%dT%H:%M:%S') || '+' || lpad(CAST(date_diff('minute', placed, here) // 60 AS VARCHAR), 2, '0')
+           || ':' || lpad(CAST(date_diff('minute', placed, here) % 60 AS VARCHAR), 2, '0') AS stamp
+       FROM stamped
+       UNION ALL SELECT o_orderkey, 'Nowhere', NULL FROM orders WHERE o_orderpriority = '5-LOW'""",
+)
+def stamps_of_places(t: Tables) -> DataFrame:
+    """The date of each order as the clock of a configured place shows it; a place that is not configured has none."""
+    named = F.lit("Nowhere")
+    for priority, city in _STAMPED.items():
+        named = F.when(F.col("o_orderpriority") == priority, city).otherwise(named)
+    rows = t.orders.select("o_orderkey", named.alias("city"), "o_orderdate")
+    return rows.select("o_orderkey", "city", feeds.stamp_of_place("o_orderdate").alias("stamp"))
+
+
 @query("publish_current", "SELECT s_suppkey, upper(s_name) AS s_name FROM supplier")
 def publish_current(t: Tables) -> DataFrame:
     """Two versions of a table, read back by its name from the folder, as another session would."""
@@ -873,6 +955,19 @@ def scd2_table(t: Tables) -> DataFrame:
     return rows.select("o_custkey", "priority", "dbt_valid_from", "dbt_valid_to")
 
 
+@query(
+    "scd2_changes",
+    f"""SELECT o_custkey, priority, {time_sql('dbt_valid_from')} AS dbt_valid_from,
+        {time_sql('dbt_valid_to')} AS dbt_valid_to FROM priority_history""",
+)
+def scd2_changes(t: Tables) -> DataFrame:
+    """The same runs on a history of a base and changes, folded on the way."""
+    path = scratch_path(t.spark, "history-changes")
+    for run_at, state in _segment_states(t):
+        changes.snapshot_changes(state, path, "o_custkey", ["priority"], run_at, fold_every=2)
+    return changes.read_changes(t.spark, path).select("o_custkey", "priority", "dbt_valid_from", "dbt_valid_to")
+
+
 @query(
     "current_row_join",
     """SELECT o_orderkey, o.o_custkey, priority AS current_priority
@@ -1106,6 +1201,25 @@ def loaded_range(t: Tables) -> DataFrame:
     return planning.loaded_range(t.orders, "o_orderdate", keys, "o_custkey")
 
 
+@query(
+    "missing_spans",
+    f"""WITH days AS (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS day FROM orders),
+        stops AS (SELECT o_custkey, day AS span_start, day AS span_end FROM days
+                  WHERE day BETWEEN DATE '1993-01-01' AND DATE '1997-12-31'
+                  UNION ALL SELECT DISTINCT o_custkey, DATE '1998-01-01', NULL FROM days),
+        gaps AS (SELECT o_custkey, CAST(coalesce(lag(span_end) OVER (PARTITION BY o_custkey ORDER BY span_start) + 1, DATE '1993-01-01') AS DATE) AS first,
+                        span_start - 1 AS last FROM stops)
+        SELECT o_custkey, {day_sql('first')} AS missing_start, {day_sql('CAST(last AS DATE)')} AS missing_end FROM gaps WHERE first <= last""",
+)
+def missing_spans(t: Tables) -> DataFrame:
+    """Days of five years on which a customer has no order, as ranges."""
+    days = t.orders.select("o_custkey", F.to_date("o_orderdate").alias("day"))
+    wanted = t.orders.select(
+        "o_custkey", F.to_date(F.lit("1993-01-01")).alias("start_date"), F.to_date(F.lit("1997-12-31")).alias("end_date")
+    ).distinct()
+    return planning.missing_spans(wanted, planning.loaded_spans(days, "o_custkey", "day"), "o_custkey")
+
+
 @query(
     "freshness",
     f"""SELECT o_custkey, {time_sql('newest')} AS max_loaded_at,

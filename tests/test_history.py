@@ -1,7 +1,8 @@
 import pytest
 
+from lakeloom.operators.changes import read_changes, snapshot_changes
 from lakeloom.operators.history import current_rows, read_history, run_label, snapshot, snapshot_table
-from lakeloom.session import settle
+from lakeloom.session import remove_folder, settle
 from tests.conftest import rows
 
 COLS = ["id", "glass", "dbt_valid_from", "dbt_valid_to"]
@@ -107,3 +108,38 @@ def test_unfinished_run_does_not_show(spark, tmp_path):
     at, data = RUNS[2]
     snapshot_table(spark.createDataFrame(data, "id string, glass string"), path, "id", ["glass"], at)
     assert {r[0] for r in shown(current_rows(read_history(spark, path)))} == {"1", "2", "3", "4"}
+
+
+@pytest.mark.parametrize("fold_every", [1, 2, 32])
+def test_base_and_changes_equal_history_in_memory(spark, tmp_path, fold_every):
+    path, memory = str(tmp_path / "h"), None
+    for at, data in RUNS:
+        source = spark.createDataFrame(data, "id string, glass string")
+        for _ in range(2):  # each run is done twice
+            snapshot_changes(source, path, "id", ["glass"], at, fold_every)
+        memory = run(spark, memory, data, at)
+        assert shown(read_changes(spark, path)) == shown(memory)
+
+
+def test_a_run_writes_what_changed(spark, tmp_path):
+    path = str(tmp_path / "h")
+    source = spark.range(20_000).selectExpr("cast(id as string) id", "'Mug' glass")
+    changed = source.selectExpr("id", "case when cast(id as int) % 1000 = 7 then 'Jar' else glass end glass").where("id <> '5'")
+    snapshot_changes(source, path, "id", ["glass"], day(1))
+    snapshot_changes(changed, path, "id", ["glass"], day(2))
+    label = run_label(day(2))
+    written = {part: spark.read.parquet(f"{path}/{part}/run={label}").count() for part in ("opened", "closed")}
+    assert written == {"opened": 20, "closed": 21}
+    assert [p.name for p in (tmp_path / "h" / "base").iterdir()] == [f"run={run_label(day(1))}"]
+    assert current_rows(read_changes(spark, path)).count() == 19_999
+
+
+def test_unfinished_changes_do_not_show(spark, tmp_path):
+    path = str(tmp_path / "h")
+    for at, data in RUNS[:2]:
+        snapshot_changes(spark.createDataFrame(data, "id string, glass string"), path, "id", ["glass"], at)
+    before = shown(read_changes(spark, path))
+    at, data = RUNS[2]
+    snapshot_changes(spark.createDataFrame(data, "id string, glass string"), path, "id", ["glass"], at)
+    remove_folder(spark, f"{path}/done/run={run_label(at)}")
+    assert shown(read_changes(spark, path)) == before

@@ -187,3 +187,11 @@ def test_sheet_times(spark):
 def test_parallel_lists_of_unequal_length(spark):
     df = spark.createDataFrame([(1, [1, 2], ["a"])], "i int, n array<int>, s array<string>")
     assert rows(L.zip_lists(df, {"n": "n", "s": "s"}, "i")) == [(1, 1, "a"), (1, 2, None)]
+
+
+def test_load_counts_while_it_writes(spark, tmp_path):
+    lines = spark.createDataFrame([("1,2",), ("3",), ('"a,b",c',), ("x,y,z",), ("",)], "value string")
+    found = L.load_csv(lines, ["a", "b"], str(tmp_path / "t"))
+    assert found == {"row_count": 5, "malformed_rows": 3, "headers": "a, b"}
+    assert rows(spark.read.parquet(str(tmp_path / "t"))) == [("1", "2"), ("a,b", "c")]
+    assert tuple(L.csv_metrics(lines, ["a", "b"]).head()) == (5, 3, "a, b")

@@ -63,8 +63,27 @@ def test_struct_items(spark):
     assert rows(got) == [("a", "b"), ("b", "a"), ("c", None)]
 
 
-def test_no_joins_and_spread_after_two_levels(spark):
+def test_no_joins_and_spread_ranges(spark):
     df = spark.createDataFrame(DATA, "key string, item string, attr string")
     text = plan_text(ordered_selections(df, "key", "item", NAMES))
     assert "Join" not in text
-    assert "REPARTITION_BY_NUM" in text and "hashpartitioning(key" in text
+    assert "REPARTITION_BY_NUM" in text and "hashpartitioning(" in text
+    assert text.count("Generate") == 2  # ranges and numbers, however many levels there are
+
+
+def test_big_group_is_spread_evenly(spark):
+    """60 items and 205 320 selections of three, in ranges of 500."""
+    df = spark.range(60).selectExpr("'big' as key", "id as item")
+    got = ordered_selections(df, "key", "item", NAMES[:3], spread=16, selections=500)
+    each = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    sizes = [r["count"] for r in each]
+    assert sum(sizes) == 60 * 59 * 58 and len(sizes) == 16 and max(sizes) < 2 * sum(sizes) / 16
+    assert got.distinct().count() == 60 * 59 * 58
+    assert got.where("i1 = i2 or i1 = i3 or i2 = i3 or i3 is null").count() == 0
+
+
+@pytest.mark.parametrize("selections", [1, 2, 7])
+def test_ranges_of_any_length(spark, selections):
+    df = spark.createDataFrame(DATA, "key string, item string, attr string")
+    got = ordered_selections(df, "key", "item", NAMES, attrs=["attr"], selections=selections)
+    assert rows(got) == brute(DATA, 4)

@@ -191,3 +191,30 @@ def test_calendar(spark):
 def test_weather_end(spark):
     got = spark.sql("select timestamp_ntz'2025-05-10 13:30:00' n, timestamp_ntz'2025-05-10 14:30:00' m")
     assert tuple(map(str, got.select(P.weather_end("n"), P.weather_end("m")).head())) == ("2025-05-08", "2025-05-09")
+
+
+def test_holes_come_back_as_ranges(spark):
+    """Random loaded days and wanted ranges against counting day by day."""
+    import datetime as dt
+    import random
+
+    rng, base = random.Random(3), dt.date(2024, 2, 20)
+    day = lambda n: base + dt.timedelta(n)
+    loaded = [(k, day(rng.randrange(60))) for k in "abcd" for _ in range(45)] * 2 + [(None, day(1)), ("a", None)]
+    wanted = [("a", day(5), day(50)), ("a", day(0), day(3)), ("b", day(-9), day(70)), ("c", day(10), day(9)), ("e", day(0), day(1)), (None, day(0), day(2))]
+    spans = P.loaded_spans(spark.createDataFrame(loaded, "k string, day date"), "k", "day")
+    have = {(k, d) for k, d in loaded if d}
+    covered = [(r.k, r.span_start + dt.timedelta(i)) for r in spans.collect() for i in range((r.span_end - r.span_start).days + 1)]
+    assert len(covered) == len(set(covered)) and set(covered) == have
+    assert all((r.k, r.span_end + dt.timedelta(1)) not in have for r in spans.collect())
+    found = P.missing_spans(spark.createDataFrame(wanted, "k string, start_date date, end_date date"), spans, "k")
+    expected = []
+    for k, first, last in wanted:
+        days = [first + dt.timedelta(i) for i in range((last - first).days + 1)]
+        gone = [d for d in days if k is None or (k, d) not in have]
+        for d in gone:
+            if expected and expected[-1][0] == k and expected[-1][2] == d - dt.timedelta(1) and d > first:
+                expected[-1] = (k, expected[-1][1], d)
+            else:
+                expected.append((k, d, d))
+    assert rows(found) == sorted(expected, key=repr)

@@ -123,3 +123,36 @@ def test_only_versions_that_pass_become_current(spark, tmp_path):
     assert S.read_current(spark.newSession(), root, "base", "t").count() == 5
     with pytest.raises(LookupError):
         S.read_current(spark, root, "base", "other")
+
+
+def test_publish_counts_while_it_writes(spark, tmp_path):
+    root = str(tmp_path)
+    checks = [Q.NotNull("id"), Q.Between("id", 0, 2), Q.Unique("id")]
+    with pytest.raises(S.ChecksFailed, match=r"between of id \(3\), unique of id \(1\)"):
+        S.publish(spark.range(6).union(spark.range(1)), root, "base", "t", "1", checks=checks)
+    assert S.current_version(spark, root, "base", "t") is None
+    df = spark.range(3)
+    watched, seen = Q.observed(df, checks[:2])
+    watched.write.format("noop").mode("overwrite").save()
+    assert Q.observed_failures(checks, seen)[:2] == [("not_null", "id", 0), ("between", "id", 0)]
+    S.publish(df, root, "base", "t", "2", checks=checks)
+    S.publish(spark.range(2), root, "base", "t", "3", checks=checks)
+    assert rows(S.load_log(spark, root, "base", "t")) == [(1, "2", 3), (2, "3", 2)]
+    assert S.remove_old_versions(spark, root, "base", "t", keep=1) == ["2"]
+    assert S.read_current(spark, root, "base", "t").count() == 2
+
+
+def test_the_later_of_two_publishers_fails(spark, tmp_path, monkeypatch):
+    root, real = str(tmp_path), S._places
+    S.publish(spark.range(1), root, "base", "t", "1")
+
+    def before_the_other(*given):
+        found = real(*given)
+        monkeypatch.setattr(S, "_places", real)
+        S.publish(spark.range(2), root, "base", "t", "first")
+        return found
+
+    monkeypatch.setattr(S, "_places", before_the_other)
+    with pytest.raises(S.PublishedMeanwhile):
+        S.publish(spark.range(3), root, "base", "t", "later")
+    assert S.current_version(spark, root, "base", "t") == "first"
