@@ -343,7 +343,7 @@ def learn(
     spark = docs.sparkSession
     named = spark.createDataFrame(list(known.items()), "doc_id long, toxic int")
     texts = docs.select(col(doc_id).cast("long").alias("doc_id"), col(text).cast("string").alias("text"))
-    texts = texts.filter("doc_id is not null and text is not null").join(named, "doc_id")
+    texts = texts.filter("doc_id is not null and text is not null").join(F.broadcast(named), "doc_id")  # ``bound`` pairs
     texts = settle(texts.groupBy(F.xxhash64("text").alias("mark")).agg(
         F.min("text").alias("text"), F.max("toxic").alias("toxic")
     ).select("text", "toxic"), "labelled")
