@@ -149,14 +149,15 @@ def _shown(hashes: np.ndarray) -> str:
 
 def _row(own: Marked, following: Marked) -> tuple:
     data, changed = edited(own, following)
+    near = likeness(own.print, following.print)
     return (
         len(own.text),
         hashlib.sha256(data).hexdigest(),
         _shown(own.print[:SIZE]),
         _shown(changed[:SIZE]),
         likeness(own.print, changed),
-        likeness(own.print, following.print),
-        *passage(own, following),
+        near,
+        *(passage(own, following) if near else (0, 0, 0)),  # no anchor in common, no passage
         own.at.astype(np.int32),
         own.hashes.astype(np.int64),
     )
