@@ -99,7 +99,7 @@ def _payload(text: str | None) -> bytes:
 
 
 def _referrals(pages: DataFrame, revisit_bytes: int) -> DataFrame:
-    """(page_id, digest, response) of the pages that refer to another page."""
+    """(page_id, mark, digest, response) of the pages that refer to another page; mark is the payload's SHA-1 in hex."""
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,17 +107,18 @@ def _referrals(pages: DataFrame, revisit_bytes: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    pa.array([hashlib.sha1(p).hexdigest() for p in payloads], pa.string()),
                     pa.array([payload_digest(p) for p in payloads], pa.string()),
                     pa.array([len(p) for p in payloads], pa.int64()),
                 ],
-                names=["page_id", "digest", "size"],
+                names=["page_id", "mark", "digest", "size"],
             )
 
     seen = settle(
         pages.select("page_id", "html")
-        .mapInArrow(digested, "page_id long, digest string, size long")
+        .mapInArrow(digested, "page_id long, mark string, digest string, size long")
         .filter(F.col("size") >= revisit_bytes)
-        .select("page_id", "digest"),
+        .select("page_id", "mark", "digest"),
         "digests",
     )
     shared = seen.groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("pages"))
@@ -125,7 +126,7 @@ def _referrals(pages: DataFrame, revisit_bytes: int) -> DataFrame:
     return (
         seen.join(shared.filter("pages > 1 and response is not null"), "digest")
         .filter(~F.col("page_id").eqNullSafe(F.col("response")))
-        .select("page_id", "digest", "response")
+        .select("page_id", "mark", "digest", "response")
         .distinct()
     )
 
@@ -140,7 +141,7 @@ def write_archives(
     file_bytes: int = FILE_BYTES,
     date: str = "1970-01-01T00:00:00Z",
 ) -> DataFrame:
-    """Write a record per row; return the manifest (file, records, bytes).
+    """Write a record per row; return the manifest (file, records, bytes), which is written last, into the folder.
 
     Null html is an empty payload. Payloads shorter than ``revisit_bytes`` are always written in
     full. Of equal ones, the largest page_id answers and the rest refer to it; a page without an
@@ -153,14 +154,16 @@ def write_archives(
         col(html).cast("string").alias("html"),
     )
     none = F.lit(None)
-    records = kept.select("page_id", F.lit(1).alias("kind"), "url", "html", none.cast("long").alias("response"))
+    mark = F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("mark")
+    records = kept.select("page_id", mark, F.lit(1).alias("kind"), "url", "html", none.cast("long").alias("response"))
     referrals = _referrals(kept, revisit_bytes).select(
-        "page_id", F.lit(0).alias("kind"), none.cast("string").alias("url"), F.col("digest").alias("html"), "response"
+        "page_id", "mark", F.lit(0).alias("kind"), none.cast("string").alias("url"), F.col("digest").alias("html"), "response"
     )
     ordered = (
         records.union(referrals)
-        .repartitionByRange("page_id")
-        .sortWithinPartitions("page_id", "kind", F.xxhash64("html"), "url")
+        .repartitionByRange("page_id", "mark")
+        .sortWithinPartitions("page_id", "mark", "kind", "url")
+        .select("page_id", "mark", "kind", "url", "html", "response")
     )
 
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,8 +172,8 @@ def write_archives(
         rows: list[tuple] = []
         size = records = 0
         page: object = ()
-        refers: dict[str, int] = {}
-        repeats: dict[str, int] = {}
+        refers: int | None = None
+        repeat = 0
 
         def name() -> str:
             return f"pages-{partition:06d}-{len(rows):06d}.warc.gz"
@@ -184,20 +187,19 @@ def write_archives(
             size = records = 0
 
         for batch in batches:
-            for one, kind, link, text, response in zip(*(c.to_pylist() for c in batch.columns)):
-                if one != page:
-                    page, refers, repeats = one, {}, {}
+            for one, mark, kind, link, text, response in zip(*(c.to_pylist() for c in batch.columns)):
+                if (one, mark) != page:  # what a page says of one payload
+                    page, refers, repeat = (one, mark), None, 0
                 if kind == 0:
-                    refers[text] = response
+                    refers = response
                     continue
                 payload = _payload(text)
                 digest = payload_digest(payload)
-                repeat = repeats.get(digest, 0)
-                repeats[digest] = repeat + 1
                 if len(payload) < revisit_bytes:
                     member = record(one, link, payload, digest, None, 0, date)
                 else:
-                    member = record(one, link, payload, digest, refers.get(digest), repeat, date)
+                    member = record(one, link, payload, digest, refers, repeat, date)
+                repeat += 1
                 parts.append(_member(member))
                 size += len(parts[-1])
                 records += 1
@@ -208,15 +210,34 @@ def write_archives(
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["file", "records", "bytes"])
 
-    return settle(ordered.mapInArrow(written, "file string, records long, bytes long"), "manifest")
+    # the last step: a folder counts once its manifest is there
+    ordered.mapInArrow(written, "file string, records long, bytes long").write.mode("overwrite").parquet(
+        f"{folder}/manifest"
+    )
+    return pages.sparkSession.read.schema("file string, records long, bytes long").parquet(f"{folder}/manifest")
+
+
+#: bytes of an archive that are handed to the decompressor at a time
+STEP = 1 << 16
+
+
+def _members(content: bytes) -> Iterator[bytes]:
+    """Each gzip member unpacked; what follows a member is looked at where it lies, not copied."""
+    at, whole = 0, memoryview(content)
+    while at < len(whole):
+        unpacker, parts = zlib.decompressobj(31), []
+        while not unpacker.eof:
+            some = whole[at : at + STEP]
+            if not some:
+                raise ValueError("the last record is cut off")
+            parts.append(unpacker.decompress(some))
+            at += len(some) - len(unpacker.unused_data)
+        yield b"".join(parts)
 
 
 def records_of(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(header fields, block) of each record of an archive, one gzip member at a time."""
-    while content:
-        unpacker = zlib.decompressobj(31)
-        text = unpacker.decompress(content) + unpacker.flush()
-        content = unpacker.unused_data
+    for text in _members(content):
         head, _, rest = text.partition(b"\r\n\r\n")
         lines = head.decode("utf-8", "surrogatepass").split("\r\n")
         if not lines[0].startswith("WARC/"):
@@ -233,7 +254,9 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
 
     html is null for revisits. The digest of every payload is worked out again and must agree.
     """
-    files = manifest.select("file").repartition(F.col("file"))
+    # an explicit number, as files are short rows that would else be put into one task
+    tasks = max(1, min(manifest.count(), int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    files = manifest.select("file").repartition(tasks)
     names = ["page_id", "url", "html", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
 

@@ -173,3 +173,35 @@ def test_empty_table_writes_no_archive(spark):
     folder = scratch_path(spark, "warc-test")
     manifest = warc.write_archives(df, folder)
     assert manifest.count() == 0 and warc.read_archives(manifest, folder).count() == 0
+
+
+def test_reading_takes_time_in_proportion(spark):
+    """Four times the archive takes about four times as long; whole-file copies for each record would take sixteen."""
+    import random
+    import time
+
+    rng = random.Random(1)
+    member = [warc._member(warc.record(i, "u", p := rng.randbytes(3000), warc.payload_digest(p), None, 0, "1970-01-01T00:00:00Z")) for i in range(3000)]
+    took = []
+    for n in (750, 3000):
+        content = b"".join(member[:n])
+        best = float("inf")
+        for _ in range(3):
+            start = time.perf_counter()
+            assert sum(1 for _ in warc.records_of(content)) == n
+            best = min(best, time.perf_counter() - start)
+        took.append(best)
+    assert took[1] < 8 * took[0]
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc.records_of(content[:-20]))
+
+
+def test_one_page_id_for_all_rows_is_spread(spark, settings):
+    settings(spark__sql__shuffle__partitions="6", spark__sql__adaptive__coalescePartitions__enabled="false")
+    df = spark.range(300).selectExpr("cast(null as long) page_id", "'u' url", "concat('page ', id % 200) html")
+    folder = scratch_path(spark, "warc-test")
+    manifest = warc.write_archives(df, folder)
+    assert manifest.count() > 3 and spark.read.parquet(f"{folder}/manifest").count() == manifest.count()
+    found = warc.read_archives(manifest, folder)
+    assert found.count() == 300 and found.filter("record_type = 'response'").count() == 200
+    assert found.rdd.getNumPartitions() > 1
