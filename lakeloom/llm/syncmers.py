@@ -5,7 +5,7 @@ value) stands at one of its ends. Whether a k-mer is chosen depends on nothing o
 anchors of a text put together from two others are their anchors plus those across the seam. All
 anchors are kept, with their positions: the likeness of two texts is the Jaccard similarity of their
 distinct anchor hashes, and a passage that both have is found as the longest run of anchors of the same
-hashes and distances. The fingerprint that is shown is the ``SIZE`` smallest hashes.
+hashes and distances. The fingerprint is the distinct hashes in order, eight hexadecimal digits each.
 """
 
 from __future__ import annotations
@@ -26,8 +26,6 @@ INNER = 8
 #: inner substrings in a k-mer, so k is 23 and one k-mer in eight is chosen
 WINDOW = 16
 K = INNER + WINDOW - 1
-#: hashes in a fingerprint that is shown; nothing is computed from it
-SIZE = 128
 
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
@@ -153,8 +151,8 @@ def _row(own: Marked, following: Marked) -> tuple:
     return (
         len(own.text),
         hashlib.sha256(data).hexdigest(),
-        _shown(own.print[:SIZE]),
-        _shown(changed[:SIZE]),
+        _shown(own.print),
+        _shown(changed),
         likeness(own.print, changed),
         near,
         *(passage(own, following) if near else (0, 0, 0)),  # no anchor in common, no passage

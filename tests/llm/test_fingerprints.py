@@ -85,6 +85,22 @@ def test_edits_of_the_query(spark):
     assert shown_edits(QUERIES["op1_closed_syncmers"](spark, SF)) == sorted(expected_edits(docs))
 
 
+def test_likenesses_are_of_the_fingerprints_shown(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    found = sorted(syncmers.fingerprint_edits(docs).collect(), key=lambda r: -r.doc_id)
+    shown = [{r.fingerprint[i : i + 8] for i in range(0, len(r.fingerprint), 8)} for r in found]
+    changed = [{r.edited_fingerprint[i : i + 8] for i in range(0, len(r.edited_fingerprint), 8)} for r in found]
+
+    def jaccard(a, b):
+        return len(a & b) / len(a | b) if a or b else 1.0
+
+    assert max(map(len, shown)) > 500
+    for k, r in enumerate(found):
+        assert r.near_edited == pytest.approx(jaccard(shown[k], changed[k]), abs=1e-12)
+        assert r.near_next == pytest.approx(jaccard(shown[k], shown[(k + 1) % len(found)]), abs=1e-12)
+        assert (r.passage_bytes > 0) <= (r.near_next > 0)
+
+
 def test_edits_of_repeats_nulls_and_nothing(spark):
     df = frame(spark, ["one text"] * 3 + ["x", "y"], [1, 1, 1, None, None])
     found = syncmers.fingerprint_edits(df)
