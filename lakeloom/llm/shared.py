@@ -20,6 +20,16 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: rows, and bytes of them, that are handed to a Python worker at a time
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+
+
+def bounded_batches(spark) -> None:
+    """From now on Python workers get at most ``BATCH`` at a time, so what they hold does not go with the length of texts."""
+    for name, most in BATCH.items():
+        spark.conf.set(name, str(most))
+
+
 def file_system(uri: str):
     """(file system, path) of a folder; anything Arrow can open: file, s3, gs, hdfs."""
     from pyarrow import fs
