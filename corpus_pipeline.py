@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import importance, multi_index, raking, sum_squares, zstd_language
-from lakeloom.llm.shared import col, settle, table
+from lakeloom.llm.shared import bounded_batches, col, settle, table
 from lakeloom.llm.tokens import default_tokenizer
 
 _OWN = ("doc_id", "text", "source", "lang")
@@ -28,12 +28,14 @@ def _kept(decided: DataFrame, condition: Column | str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Importance resampling towards the documents that are labelled good."""
+    bounded_batches(spark)
     model = importance.fit(docs, table(spark, sf_dir, "labels"))
     return _kept(importance.scored(_rows(docs), model), "kept")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the dictionaries tell; nothing is learned from the held-out quarter."""
+    bounded_batches(spark)
     known = docs.filter(~zstd_language.held_out(col("doc_id")))
     judged = zstd_language.judged(_rows(docs), zstd_language.learn(known))
     return _kept(judged, ~zstd_language.rejected())
@@ -41,16 +43,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose fingerprints of three-word shingles are linked within two bits."""
+    bounded_batches(spark)
     return multi_index.one_of_each(docs, words=3, distance=2)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose tokens follow flattened shares of source, language and topic."""
+    bounded_batches(spark)
     return _kept(raking.mixed(_rows(docs)), "kept")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of 2048 ids."""
+    bounded_batches(spark)
     return sum_squares.pack(docs, default_tokenizer())
 
 
