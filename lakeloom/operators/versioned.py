@@ -80,13 +80,15 @@ def _read(spark: SparkSession, path: str, version: Version, wanted: Sequence[int
     return spark.read.schema(version.schema).parquet(*folders)
 
 
-def read_table(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
-    """The rows of the current version (or an older one), unchanged by later merges."""
+def read_table(
+    spark: SparkSession, path: str, number: int | None = None, only: Sequence[int] | None = None
+) -> DataFrame:
+    """The rows of the current version (or an older one), unchanged by later merges; of some buckets only, if named."""
     path = path.rstrip("/")
     version = version_of(spark, path, number)
     if version is None:
         raise LookupError(f"no version {'of a table' if number is None else number} under {path}")
-    return _read(spark, path, version)
+    return _read(spark, path, version, only)
 
 
 def bucket_of(df: DataFrame, keys: Sequence[str], buckets: int) -> Column:
@@ -107,20 +109,28 @@ def merge_table(
     keys: Sequence[str],
     newest_first: Sequence[Column | str],
     buckets: int = BUCKETS,
+    slot: Column | None = None,
 ) -> Version:
     """Merge ``updates`` into the table at ``path``: the last update of a key wins, other rows stay.
 
     The same rules as ``upsert_table``: rows without a key are added once, columns that only one
     side has are kept. ``buckets`` counts when the table is made. Only buckets that an update
     falls into are read and written, each row once. The same updates again give the same rows.
+
+    ``slot`` is another way to lay rows out: a whole number that the key decides, such as the month of
+    a date (null counts as -1). It must be the same in every call; ``buckets`` is not used then.
     """
+
+    def bucket(df: DataFrame) -> Column:
+        return bucket_of(df, keys, count) if slot is None else F.coalesce(slot, F.lit(-1)).cast("int")
+
     spark, path = updates.sparkSession, path.rstrip("/")
     current = version_of(spark, path)
     if current is not None and tuple(keys) != current.keys:
         raise ValueError(f"the table at {path} is kept by {current.keys}")
     count = buckets if current is None else current.buckets
     latest = latest_per_key(updates, keys, newest_first)
-    latest = settle(latest.withColumn(_BUCKET, bucket_of(latest, keys, count)), "updates")
+    latest = settle(latest.withColumn(_BUCKET, bucket(latest)), "updates")
     touched = sorted(r[0] for r in latest.select(_BUCKET).distinct().collect())
     latest = latest.drop(_BUCKET)
     if current is None:
@@ -132,7 +142,7 @@ def merge_table(
         kept = anti_join(stored, latest, keys)
         merged = kept.unionByName(_not_stored(latest, stored, keys), allowMissingColumns=True)
     load = uuid.uuid4().hex
-    placed = merged.withColumn(_BUCKET, bucket_of(merged, keys, count))
+    placed = merged.withColumn(_BUCKET, bucket(merged))
     placed.repartition(_BUCKET).write.partitionBy(_BUCKET).parquet(f"{path}/rows/load={load}")
     about = {"keys": list(keys), "buckets": count, "schema": json.loads(_nullable(merged.schema).json())}
     loads = {**({} if current is None else current.loads), **{b: load for b in touched}}

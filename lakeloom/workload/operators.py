@@ -17,6 +17,7 @@ from lakeloom.operators import (
     planning,
     presence,
     quality,
+    refresh,
     summaries,
     versioned,
     windows,
@@ -652,6 +653,30 @@ def rolling_ticks(t: Tables) -> DataFrame:
     return rows.select("event_id", "event_type", six(F.col("trailing_avg")).alias("trailing_avg"), six(F.col("change")).alias("change"))
 
 
+@query(
+    "rolling_late_ticks",
+    f"""SELECT event_id, event_type, {six_sql('avg(value) OVER f')} AS trailing_avg,
+        {six_sql('value - lag(value) OVER d')} AS change FROM events
+        WINDOW d AS (PARTITION BY event_type ORDER BY ts, event_id),
+               f AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)""",
+)
+def rolling_late_ticks(t: Tables) -> DataFrame:
+    """The same measures kept on disk: the ticks of one type of each hundred users come late and replace their frames."""
+
+    def measures(frame, ordered):
+        value = F.col("value")
+        return {"trailing_avg": six(F.avg(value).over(frame)), "change": six(value - F.lag(value).over(ordered))}
+
+    ticks = t.events.select("event_id", "user_id", "event_type", "ts", "value")
+    is_late = (F.col("user_id") % 100 == 7) & (F.col("event_type") == "view")
+    path = scratch_path(t.spark, "ticks-measured")
+    for some in (ticks.where(~is_late), ticks.where(is_late)):
+        rows = some.drop("user_id")
+        slot = F.date_diff(F.to_date("ts"), F.lit("1970-01-01").cast("date"))
+        refresh.refresh_trailing(rows, path, ["event_type"], ["ts", "event_id"], measures, V.TRAILING_ROWS, slot)
+    return refresh.read_trailing(t.spark, path).select("event_id", "event_type", "trailing_avg", "change")
+
+
 @query(
     "price_movement",
     """SELECT event_id, stock, CAST(round(CAST(high - low AS DECIMAL(38,10)), 2) AS DOUBLE) AS price_spread,
