@@ -1,13 +1,15 @@
 """Building the tables of one subject, layer by layer.
 
 Each table is published before the next one reads it, so every join sees inputs of known size,
-and a build that dies can be done again from the start with the same version. A table whose
-keys are missing or repeated does not become the current version, and nothing is built on it.
+and a build that dies can be done again from the start with the same version. A table that fails
+one of its checks does not become the current version, and nothing is built on it; checks that
+are named as ``report_only`` are left to the report. With ``as_of``, feeds that have become too old
+stop a build before it begins.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -17,29 +19,46 @@ from lakeloom.operators.dims import calendar
 from lakeloom.operators.history import current_rows, read_history, snapshot_table
 from lakeloom.operators.merge import append_table, read_if_exists
 from lakeloom.operators.planning import freshness
-from lakeloom.operators.quality import NotNull, Unique, run_checks
+from lakeloom.operators.quality import Check, NotNull, run_checks
 from lakeloom.plans import contracts, drinks, meals, others, weather
-from lakeloom.sinks.publish import publish, publish_view, require_rows
+from lakeloom.session import settle
+from lakeloom.sinks.publish import ChecksFailed, publish, publish_view, require_rows
 
 Feeds = Mapping[str, DataFrame]
 
-#: kinds of checks that stop a build: missing and repeated keys spoil the tables built on them,
-#: odd values and references to rows that have not landed are for the report
-STOPPING = (NotNull, Unique)
+ReportOnly = Mapping[str, Sequence[Check]]
+
+
+class FeedTooOld(RuntimeError):
+    """The newest row of a feed is older than its limit."""
 
 
 class Build:
-    """The tables published so far under one root and version."""
+    """The tables published so far under one root and version.
 
-    def __init__(self, root: str, version: str):
+    ``report_only`` names, by table, the checks that do not stop the build.
+    """
+
+    def __init__(self, root: str, version: str, report_only: ReportOnly | None = None):
         self.root = root.rstrip("/")
         self.version = version
+        self.report_only = dict(report_only or {})
         self.tables: dict[str, DataFrame] = {}
 
+    def stopping(self, name: str) -> list[Check]:
+        """The checks of a table that stop the build."""
+        return [c for c in contracts.CHECKS.get(name, ()) if c not in self.report_only.get(name, ())]
+
+    def source(self, name: str, feed: DataFrame) -> DataFrame:
+        """A feed that has rows and passes its own checks."""
+        stop_if_failed(name, require_rows(feed, name), self.stopping(name), self.tables)
+        return feed
+
     def table(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         contract = contracts.CONTRACTS.get(name)
-        checks = [c for c in contracts.CHECKS.get(name, ()) if isinstance(c, STOPPING)]
-        self.tables[name] = publish(df, self.root, layer, name, self.version, contract, checks=checks)
+        self.tables[name] = publish(
+            df, self.root, layer, name, self.version, contract, checks=self.stopping(name), parents=self.tables
+        )
         return self.tables[name]
 
     def view(self, layer: str, name: str, df: DataFrame) -> DataFrame:
@@ -62,9 +81,29 @@ class Build:
         return reduce(DataFrame.unionByName, parts)
 
 
-def build_drinks(feeds: Feeds, root: str, version: str, run_at: str) -> Build:
+def stop_if_failed(name: str, rows: DataFrame, checks: Sequence[Check], parents: Feeds) -> None:
+    if not checks:
+        return
+    failed = run_checks(rows, checks, parents).where("status = 'fail'").collect()
+    if failed:
+        shown = ", ".join(f"{r['check']} of {r['column']} ({r['failures']})" for r in failed)
+        raise ChecksFailed(f"{name}: {shown}")
+
+
+def stop_if_old(feeds: Feeds, as_of: str | None) -> None:
+    """Nothing is built from a feed whose newest row is older than its limit; a warning does not stop."""
+    if as_of is None:
+        return
+    old = freshness_report(feeds, as_of).where("status = 'error'").collect()
+    if old:
+        raise FeedTooOld(", ".join(sorted(r["table_name"] for r in old)))
+
+
+def build_drinks(
+    feeds: Feeds, root: str, version: str, run_at: str, report_only: ReportOnly | None = None
+) -> Build:
     require_rows(feeds["beverage_fact_data"], "beverage_fact_data")
-    b = Build(root, version)
+    b = Build(root, version, report_only)
     base = b.table("base", "base_beverages", drinks.base_beverages(feeds["beverages_table"], feeds["alcoholic_table"]))
     ingredients = b.table(
         "base",
@@ -78,6 +117,7 @@ def build_drinks(feeds: Feeds, root: str, version: str, run_at: str) -> Build:
     glasses = drinks.glass_types(feeds["glass_table"])
     snapshot_table(glasses, history_path, "beverage_id", ["glass_type"], run_at)
     history = b.tables["glass_type_snapshot"] = read_history(base.sparkSession, history_path)
+    stop_if_failed("glass_type_snapshot", current_rows(history), b.stopping("glass_type_snapshot"), b.tables)
     lookup = b.table("staging", "staging_beverage_lookup", drinks.staging_beverage_lookup(base))
     staged = b.table(
         "staging", "staging_beverage_consumption", drinks.staging_beverage_consumption(consumed, history, lookup)
@@ -95,9 +135,9 @@ def build_drinks(feeds: Feeds, root: str, version: str, run_at: str) -> Build:
     return b
 
 
-def build_meals(feeds: Feeds, root: str, version: str) -> Build:
+def build_meals(feeds: Feeds, root: str, version: str, report_only: ReportOnly | None = None) -> Build:
     require_rows(feeds["consumption"], "consumption")
-    b = Build(root, version)
+    b = Build(root, version, report_only)
     base = b.table(
         "base",
         "base_meal_category_country",
@@ -119,10 +159,18 @@ def build_meals(feeds: Feeds, root: str, version: str) -> Build:
     return b
 
 
-def build_weather(feeds: Feeds, root: str, version: str, as_of: str) -> Build:
-    """Places, weather, UV and the calendar; ``uv_index`` may be left out."""
+def build_weather(
+    feeds: Feeds,
+    root: str,
+    version: str,
+    as_of: str,
+    report_only: ReportOnly | None = None,
+    fresh_at: str | None = None,
+) -> Build:
+    """Places, weather, UV and the calendar; ``uv_index`` may be left out. Feeds must be fresh at ``fresh_at``."""
     require_rows(feeds["daily_weather"], "daily_weather")
-    b = Build(root, version)
+    stop_if_old(feeds, fresh_at)
+    b = Build(root, version, report_only)
     geo = b.table("base", "base_geo", weather.base_geo(feeds["geo_cities"]))
     base = b.table("base", "base_weather", weather.base_weather(feeds["daily_weather"]))
     places = b.table("staging", "staging_geo", weather.staging_geo(geo))
@@ -137,13 +185,21 @@ def build_weather(feeds: Feeds, root: str, version: str, as_of: str) -> Build:
     return b
 
 
-def build_stocks(feeds: Feeds, root: str, version: str) -> Build:
-    """Appends the ticks that are new; the table is one and the same over all versions."""
-    ticks = require_rows(feeds["gsheet_finance_data"], "gsheet_finance_data")
-    b = Build(root, version)
+def build_stocks(
+    feeds: Feeds, root: str, version: str, report_only: ReportOnly | None = None, fresh_at: str | None = None
+) -> Build:
+    """Appends the ticks that are new; the table is one and the same over all versions.
+
+    The feed and the rows to be added are checked before anything is appended.
+    """
+    stop_if_old(feeds, fresh_at)
+    b = Build(root, version, report_only)
+    ticks = b.source("gsheet_finance_data", feeds["gsheet_finance_data"])
     path = f"{b.root}/base/base_gsheets_finance"
     stored = read_if_exists(ticks.sparkSession, path)
-    append_table(others.base_gsheets_finance(ticks, stored), path)
+    added = settle(others.base_gsheets_finance(ticks, stored), "new-ticks")
+    stop_if_failed("base_gsheets_finance", added, b.stopping("base_gsheets_finance"), b.tables)
+    append_table(added, path)
     b.tables["base_gsheets_finance"] = ticks.sparkSession.read.parquet(path)
     return b
 
@@ -163,8 +219,8 @@ def build_books(feeds: Feeds, root: str, version: str) -> Build:
     return b
 
 
-def build_show(feeds: Feeds, root: str, version: str) -> Build:
-    b = Build(root, version)
+def build_show(feeds: Feeds, root: str, version: str, report_only: ReportOnly | None = None) -> Build:
+    b = Build(root, version, report_only)
     people = b.table("base", "base_rm_characters", others.base_rm_characters(feeds["character"]))
     episodes = b.table("base", "base_rm_episodes", others.base_rm_episodes(feeds["episode"]))
     places = b.table("base", "base_rm_locations", others.base_rm_locations(feeds["location"]))

@@ -143,6 +143,20 @@ def with_row_id(df: DataFrame, keys: Sequence[str], alias: str = "_dlt_id") -> D
     return df.withColumn(alias, row_key(*keys))
 
 
+def with_lineage(df: DataFrame, keys: Sequence[str], load_id: str) -> DataFrame:
+    """Every landed row with the load that brought it (``_dlt_load_id``) and an id of its own (``_dlt_id``).
+
+    The row id depends on the keys alone, so a row that lands again has the same id under another load.
+    """
+    return with_row_id(df, keys).withColumn("_dlt_load_id", F.lit(load_id))
+
+
+def loads_of(df: DataFrame, table: str) -> DataFrame:
+    """(table_name, load_id, row_count): the rows that each load has left in a landed table."""
+    counted = df.groupBy(F.col("_dlt_load_id").alias("load_id")).agg(F.count(F.lit(1)).alias("row_count"))
+    return counted.select(F.lit(table).alias("table_name"), "load_id", "row_count")
+
+
 def child_table(df: DataFrame, lists: str, row_id: str = "_dlt_id") -> DataFrame:
     """The elements of a list column as rows of their own, with the id of their parent row."""
     rows = df.select(

@@ -20,6 +20,7 @@ from lakeloom.operators.merge import (
     replace_table,
     upsert_table,
 )
+from lakeloom.operators.presence import append_indexed
 from lakeloom.operators.versioned import merge_table
 from lakeloom.session import settle
 
@@ -106,6 +107,28 @@ def append_stream(
     return _start(stream.writeStream.foreachBatch(append), checkpoint, available_now, interval)
 
 
+def indexed_stream(
+    stream: DataFrame,
+    target: str,
+    checkpoint: str,
+    keys: Sequence[str],
+    newest_first: Sequence[Column | str],
+    available_now: bool = True,
+    interval: str = "1 minute",
+) -> StreamingQuery:
+    """Append the first row of each key, however long ago its repeats came; ``read_batches`` reads the table.
+
+    Each micro-batch is looked up in the presence index of all earlier ones, and only batches
+    that may hold one of its keys are read. So no state of all keys is kept, no horizon is set,
+    and no late row is dropped. A replayed micro-batch is written again under its own id.
+    """
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        append_indexed(batch, target, f"{batch_id:012d}", keys, newest_first)
+
+    return _start(stream.writeStream.foreachBatch(append), checkpoint, available_now, interval)
+
+
 def without_repeats(
     stream: DataFrame, keys: Sequence[str], time: str, delay: str, spread: Sequence[str] = (), ways: int | None = None
 ) -> DataFrame:

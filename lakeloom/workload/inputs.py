@@ -578,10 +578,11 @@ piece(
 def episode_characters(t: Tables) -> DataFrame:
     # the lines of one order in seven go to a parent that is not there
     parent = F.when(F.col("l_orderkey") % 7 == 0, -1 - F.col("l_orderkey")).otherwise(F.col("l_orderkey"))
-    return t.lineitem.select(
-        row_key(parent).alias("_dlt_root_id"),
+    pairs = t.lineitem.select(parent.alias("parent"), "l_partkey").distinct()  # numbers, before they become long texts
+    return pairs.select(
+        row_key("parent").alias("_dlt_root_id"),
         F.concat(F.lit("https://show/api/character/"), _text("l_partkey")).alias("value"),
-    ).distinct()
+    )
 
 
 piece(
@@ -627,10 +628,11 @@ piece(
 def location_residents(t: Tables) -> DataFrame:
     # the lines of one supplier in four go to a place that is not there
     parent = F.when(F.col("l_suppkey") % 4 == 0, -1 - F.col("l_suppkey")).otherwise(F.col("l_suppkey"))
-    return t.lineitem.select(
-        row_key(parent).alias("_dlt_root_id"),
+    pairs = t.lineitem.select(parent.alias("parent"), "l_partkey").distinct()  # numbers, before they become long texts
+    return pairs.select(
+        row_key("parent").alias("_dlt_root_id"),
         F.concat(F.lit("https://show/api/character/"), _text("l_partkey")).alias("value"),
-    ).distinct()
+    )
 
 
 piece(

@@ -77,6 +77,20 @@ def csv_load_metrics(t: Tables) -> DataFrame:
     return landing.csv_metrics(_csv_text(t), ["id", "name", "segment"])
 
 
+@query(
+    "load_lineage",
+    """SELECT 'customer' AS table_name, load_id, count(*) AS row_count
+       FROM (SELECT CASE WHEN c_acctbal < 0 THEN 'load-2' ELSE 'load-1' END AS load_id FROM customer)
+       GROUP BY ALL""",
+)
+def load_lineage(t: Tables) -> DataFrame:
+    """Two loads merged into one table: what each of them has left there."""
+    rows = t.customer.select("c_custkey", "c_name", "c_acctbal")
+    first = landing.with_lineage(rows, ["c_custkey"], "load-1")
+    again = landing.with_lineage(rows.where("c_acctbal < 0"), ["c_custkey"], "load-2")
+    return landing.loads_of(merge.merge_by_key(first, again, ["_dlt_id"], ["_dlt_load_id"]), "customer")
+
+
 @query(
     "csv_records_file",
     r"""SELECT CAST(c_custkey AS VARCHAR) AS id,
@@ -1329,11 +1343,26 @@ def stream_append(t: Tables) -> DataFrame:
 
 @query("stream_without_repeats", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_without_repeats(t: Tables) -> DataFrame:
-    """One row per user and type of event, from two files that are read in batches of their own."""
+    """One row per user and type of event, from files that are read in two batches."""
     landed, target, marks = (scratch_path(t.spark, n) for n in ("landed", "kept-events", "marks"))
-    t.events.withColumn("half", F.col("event_id") % 2).repartition("half").drop("half").write.parquet(landed)
-    stream = ingest.landing_stream(t.spark, landed, t.events.schema, files_per_batch=1)
+    t.events.repartition(6).write.parquet(landed)
+    stream = ingest.landing_stream(t.spark, landed, t.events.schema, files_per_batch=3)
     rows = stream.select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
     once = ingest.without_repeats(rows, ["user_id", "event_type"], "ts", "4000 days", spread=["event_id"])
     ingest.write_stream(once, target, marks).awaitTermination()
     return t.spark.read.parquet(target).select("user_id", "event_type")
+
+
+@query(
+    "stream_first_of_keys",
+    "SELECT DISTINCT user_id, event_type FROM events",
+)
+def stream_first_of_keys(t: Tables) -> DataFrame:
+    """One row per user and type of event, looked up in the index of earlier batches: no state, no horizon."""
+    landed, target, marks = (scratch_path(t.spark, n) for n in ("landed", "first-of-keys", "marks"))
+    t.events.repartition(6).write.parquet(landed)
+    stream = ingest.landing_stream(t.spark, landed, t.events.schema, files_per_batch=2)
+    rows = stream.select("event_id", "user_id", "event_type", "ts")
+    oldest = [F.col("ts"), F.col("event_id")]
+    ingest.indexed_stream(rows, target, marks, ["user_id", "event_type"], oldest).awaitTermination()
+    return presence.read_batches(t.spark, target).select("user_id", "event_type")

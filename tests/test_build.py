@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.operators.merge import latest_per_key
+from lakeloom.operators.quality import Related
 from lakeloom.plans import build as B
 from lakeloom.plans import contracts
 from lakeloom.sinks.publish import ChecksFailed, EmptyInput, current_version, published
@@ -49,10 +50,14 @@ def test_meals(t, tmp_path):
 def test_weather(t, tmp_path):
     feeds = {n: getattr(I, n)(t) for n in ("geo_cities", "daily_weather", "uv_index")}
     with pytest.raises(ChecksFailed, match="base_uv"):  # a reading that landed twice
-        B.build_weather(feeds, str(tmp_path / "stopped"), "1", "2001-07-20")
+        given = {n: [Related("city", "base_geo", "city")] for n in ("base_weather", "base_uv")}
+        B.build_weather(feeds, str(tmp_path / "stopped"), "1", "2001-07-20", given)
     assert current_version(t.spark, str(tmp_path / "stopped"), "base", "base_uv") is None
     feeds["uv_index"] = latest_per_key(feeds["uv_index"], ["uv_time", "city"], ["uv"])
-    b = B.build_weather(feeds, str(tmp_path), "1", "2001-07-20")
+    with pytest.raises(ChecksFailed, match="base_weather.*relationships of city"):  # places outside the country filter
+        B.build_weather(feeds, str(tmp_path / "stopped"), "2", "2001-07-20")
+    outside = Related("city", "base_geo", "city")
+    b = B.build_weather(feeds, str(tmp_path), "1", "2001-07-20", {"base_weather": [outside], "base_uv": [outside]})
     assert b.tables["fact_weather"].count() == b.tables["base_weather"].count()
     assert b.tables["staging_uv_data_dates"].count() == 6
     bad = failures(b)
@@ -70,6 +75,16 @@ def test_stocks_twice(t, tmp_path):
     assert failures(b) == {}
 
 
+def test_old_and_broken_feeds_stop_the_build(t, tmp_path):
+    ticks = I.stock_ticks(t)
+    with pytest.raises(B.FeedTooOld, match="gsheet_finance_data"):
+        B.build_stocks({"gsheet_finance_data": ticks}, str(tmp_path), "1", fresh_at="2024-12-01 00:00:00")
+    with pytest.raises(ChecksFailed, match="gsheet_finance_data: unique of id"):
+        B.build_stocks({"gsheet_finance_data": ticks.union(ticks)}, str(tmp_path), "1")
+    assert not (tmp_path / "base").exists()
+    B.build_stocks({"gsheet_finance_data": ticks}, str(tmp_path), "1", fresh_at="2024-02-08 00:00:00")  # a warning only
+
+
 def test_aviation_books_show(t, tmp_path):
     names = ("airlines", "airports", "routes", "planes")
     assert len(B.build_aviation({n: getattr(I, n)(t) for n in names}, str(tmp_path), "1").tables) == 4

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom.operators.presence import read_batches
 from lakeloom.operators.versioned import read_table
 from lakeloom.streaming import ingest as I
 from tests.conftest import rows
@@ -70,6 +71,17 @@ def test_replayed_batch_appends_nothing(spark, tmp_path):
     assert kept(spark, target) == [(1, "a"), (2, "b"), (None, "n")]
 
 
+def test_indexed_stream(spark, tmp_path):
+    """Repeats in the same micro-batch, in a later one, and played again."""
+    landed, target, marks = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "marks")
+    for some in ([(1, "a", 1), (1, "b", 2), (None, "n", 1)], [(1, "late", 3), (2, "c", 3)], [(2, "d", 4), (3, "e", 4), (None, "n", 1)]):
+        land(spark, landed, some)
+    for checkpoint in (marks, marks, f"{tmp_path}/fresh"):
+        stream = I.landing_stream(spark, str(landed), SCHEMA, files_per_batch=1)
+        I.indexed_stream(stream, target, checkpoint, ["k"], [F.col("ts")]).awaitTermination()
+        assert rows(read_batches(spark, target).select("k", "v")) == [(1, "a"), (2, "c"), (3, "e"), (None, "n")]
+
+
 @pytest.mark.parametrize("spread", [(), ("v",)])
 def test_without_repeats(spark, tmp_path, spread):
     landed, target, marks = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "marks")
