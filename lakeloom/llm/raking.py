@@ -23,10 +23,13 @@ TOPICS = 16
 LONG_WORD = 5
 #: target shares are the observed ones to this power, then scaled to one
 FLATTEN = 0.7
-SWEEPS = 12
-TOLERANCE = 1e-3
-#: share of all tokens that the sample keeps
-KEEP = 0.8
+SWEEPS = 40
+#: how far a margin of the sample may be off its target, as a share of it
+TOLERANCE = 5e-3
+#: share of all tokens that the sample keeps, where the targets allow it
+KEEP = 0.5
+#: a value of a dimension is asked for no larger a part of its tokens; with less room raking hardly converges
+FULL = 0.9
 
 
 def _counted(text: str | None) -> tuple[int, int]:
@@ -60,83 +63,105 @@ def described(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.select(*[col(c) for c in names], "described_text.tokens", "described_text.topic")
 
 
-def _targets(cells: DataFrame, dimension: str, wanted: Mapping | None, flatten: float) -> DataFrame:
-    """(value, share) of a dimension: as given (values that are not named get nothing), else flattened."""
+def _bounded(seen: DataFrame, keep: float) -> DataFrame:
+    """Flattened shares, none above what its texts can give to a sample of ``keep``: what is cut off goes to the others.
+
+    ``seen`` has tokens and share (not scaled); the shares come back scaled to one.
+    """
+    total, flat = seen.agg(F.sum("tokens"), F.sum("share")).first()
+    if not total:
+        return seen
+    most = F.col("tokens") / F.lit(float(total)) * F.lit(max(FULL, keep) / keep)
+    scale = 1 / flat
+    for _ in range(100):
+        full = F.col("share") * scale >= most
+        held, free = seen.agg(
+            F.sum(F.when(full, most).otherwise(0.0)), F.sum(F.when(full, 0.0).otherwise(F.col("share")))
+        ).first()
+        if not free:
+            break
+        again = max(0.0, 1 - held) / free
+        if abs(again - scale) <= 1e-12 * scale:
+            break
+        scale = again
+    return seen.withColumn("share", F.least(F.col("share") * F.lit(scale), most))
+
+
+def _targets(cells: DataFrame, dimension: str, wanted: Mapping | None, flatten: float, keep: float) -> DataFrame:
+    """(value, tokens, share) of a dimension: as given (values that are not named get nothing), else flattened."""
     spark = cells.sparkSession
-    seen = cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("tokens").cast("double").alias("share"))
+    seen = cells.groupBy(F.col(dimension).alias("value")).agg(F.sum("tokens").cast("double").alias("tokens"))
     if wanted is None:
-        seen = seen.withColumn("share", F.pow("share", F.lit(flatten)))
-    else:
-        given = spark.createDataFrame(
-            [(None if v is None else str(v), float(x)) for v, x in wanted.items()], "named string, given double"
-        )
-        seen = seen.join(given, F.col("value").cast("string").eqNullSafe(F.col("named")), "left").select(
-            "value", F.coalesce("given", F.lit(0.0)).alias("share")
-        )
+        seen = settle(seen.withColumn("share", F.pow("tokens", F.lit(flatten))), f"flat-{dimension}")
+        return settle(_bounded(seen, keep), f"target-{dimension}")
+    given = spark.createDataFrame(
+        [(None if v is None else str(v), float(x)) for v, x in wanted.items()], "named string, given double"
+    )
+    seen = seen.join(given, F.col("value").cast("string").eqNullSafe(F.col("named")), "left").select(
+        "value", "tokens", F.coalesce("given", F.lit(0.0)).alias("share")
+    )
     total = seen.agg(F.sum("share")).first()[0] or 0.0
-    if wanted is not None and not total:
+    if not total:
         raise ValueError(f"no document has a {dimension} with a target")
-    return settle(seen.withColumn("share", F.col("share") / F.lit(total or 1.0)), f"target-{dimension}")
+    return settle(seen.withColumn("share", F.col("share") / F.lit(total)), f"target-{dimension}")
 
 
 def rake(
     cells: DataFrame,
     targets: Mapping[str, DataFrame],
+    keep: float = KEEP,
     sweeps: int = SWEEPS,
     tolerance: float = TOLERANCE,
-) -> DataFrame:
-    """``cells`` (the dimensions, tokens) with ``weight``: token shares that meet all targets.
-
-    Null is a value like any other. Stops when no margin is off by more than ``tolerance`` of
-    its target, or after ``sweeps``: targets that the cells cannot meet together are met by the last
-    dimension alone.
+) -> tuple[DataFrame, float]:
+    """``cells`` (the dimensions, tokens) with ``probability`` and ``weight``, and how far the worst margin is off.
+
+    The expected tokens of the sample are raked, under the bound that no cell gives more than it
+    has: a probability is a product of one factor for each value of the cell, cut at 1, and the
+    factors are set in turn so that the sample's margins are the targets. The sample holds ``keep``
+    of all tokens, or less if a value's target could not be met from its texts otherwise. Stops
+    when no margin is off by more than ``tolerance`` of its target, or after ``sweeps``; targets that
+    the cells cannot meet together leave a worst margin above the tolerance. Null is a value like
+    any other. The weight is the cell's share of the sample's expected tokens.
     """
     total = cells.agg(F.sum("tokens")).first()[0]
     if not total:
-        return cells.withColumn("weight", F.lit(0.0))
+        return cells.withColumns({"probability": F.lit(0.0), "weight": F.lit(0.0)}), 0.0
+    size = keep * total
+    for target in targets.values():
+        least = target.filter("share > 0").agg(F.min(F.col("tokens") / F.col("share"))).first()[0]
+        # equal only where targets are bounded by this amount already
+        size = min(size, least if least >= size * (1 - 1e-9) else least * FULL)
     names = [col(c) for c in cells.columns]
-    raked = cells.withColumn("weight", F.col("tokens") / F.lit(float(total)))
+    raked, worst = cells.withColumn("free", F.lit(size / total)), 0.0
     for sweep in range(sweeps):
         raked = raked.withColumn("off", F.lit(0.0))
         for dimension, target in targets.items():
-            margin = raked.groupBy(F.col(dimension).alias("value")).agg(F.sum("weight").alias("margin"))
+            uncut = F.col("free") < 1
+            margin = raked.groupBy(F.col(dimension).alias("value")).agg(
+                F.sum(F.least(F.col("free"), F.lit(1.0)) * F.col("tokens")).alias("given"),
+                F.sum(F.when(uncut, 0.0).otherwise(F.col("tokens"))).alias("held"),
+                F.sum(F.when(uncut, F.col("free") * F.col("tokens")).otherwise(0.0)).alias("moved"),
+            )
+            asked = F.col("share") * F.lit(size)
+            up = F.greatest(F.coalesce(F.try_divide(asked - F.col("held"), "moved"), F.lit(1.0)), F.lit(1.0))
+            factor = F.when(F.col("given") < asked, up).otherwise(F.coalesce(F.try_divide(asked, "given"), F.lit(0.0)))
+            away = F.when(asked > 0, F.abs(F.col("given") / asked - 1)).otherwise(0.0)
             factors = margin.alias("m").join(target.alias("t"), F.col("m.value").eqNullSafe(F.col("t.value"))).select(
-                F.col("m.value").alias("value"), "margin", "share"
+                F.col("m.value").alias("value"), factor.alias("factor"), away.alias("away")
             )
-            scale = F.coalesce(F.try_divide("share", "margin"), F.lit(0.0))
-            off = F.when(F.col("share") > 0, F.abs(F.col("margin") / F.col("share") - 1)).otherwise(0.0)
-            raked = settle(
-                raked.join(factors, F.col(dimension).eqNullSafe(F.col("value"))).select(
-                    *names, (F.col("weight") * scale).alias("weight"), F.greatest("off", off).alias("off")
-                ),
-                f"raked-{sweep}-{dimension}",
+            raked = raked.join(factors, F.col(dimension).eqNullSafe(F.col("value"))).select(
+                *names, (F.col("free") * F.col("factor")).alias("free"), F.greatest("off", "away").alias("off")
             )
+        raked = settle(raked, f"raked-{sweep}")
         worst = raked.agg(F.max("off")).first()[0]
         raked = raked.drop("off")
         if worst <= tolerance:
             break
-    return raked
-
-
-def probabilities(raked: DataFrame, keep: float = KEEP) -> DataFrame:
-    """``raked`` with ``probability``: in proportion to weight over tokens, one at most, so that
-    ``keep`` of all tokens are expected. What a cell cannot give because it is kept whole is
-    asked of the others."""
-    rate = F.try_divide("weight", "tokens")
-    total = raked.agg(F.sum("tokens")).first()[0] or 0
-    wanted, scale = keep * total, 0.0
-    for _ in range(100):
-        whole = rate * scale >= 1
-        held, rest = raked.agg(
-            F.sum(F.when(whole, F.col("tokens")).otherwise(0)), F.sum(F.when(whole, 0.0).otherwise(F.col("weight")))
-        ).first()
-        if not rest or rest < 1e-12:
-            break
-        again = (wanted - held) / rest
-        if again <= scale * (1 + 1e-9):
-            break
-        scale = again
-    return raked.withColumn("probability", F.least(F.lit(1.0), rate * scale))
+    chance_of = F.least(F.col("free"), F.lit(1.0))
+    sample = raked.agg(F.sum(chance_of * F.col("tokens"))).first()[0]
+    return raked.select(
+        *names, chance_of.alias("probability"), F.coalesce(F.try_divide(chance_of * F.col("tokens"), F.lit(sample)), F.lit(0.0)).alias("weight")
+    ), worst
 
 
 def chance(*columns: Column) -> Column:
@@ -155,24 +180,25 @@ def mixed(
     keep: float = KEEP,
     seed: int = 0,
 ) -> DataFrame:
-    """``docs`` with tokens, topic, weight (calibrated share of its cell), probability and kept.
+    """``docs`` with tokens, topic, weight (calibrated share of its cell), probability, kept and margin_off.
 
     Columns of these names are replaced. ``targets`` may give the wanted shares of ``source``,
-    ``lang`` or ``topic`` by value; a dimension without them gets its observed shares flattened.
+    ``lang`` or ``topic`` by value; a dimension without them gets its observed shares flattened, as
+    far as its texts suffice. margin_off, the same in all rows, is how far the worst of the
+    sample's expected shares is from its target, as a part of it.
     Null sources and languages are values like any other. Whether a row is kept depends on its
     doc_id and text alone, so repeated rows stay or go together. An empty table gives none.
     """
-    added = ("tokens", "topic", "weight", "probability", "kept")
+    added = ("tokens", "topic", "weight", "probability", "kept", "margin_off")
     rows = described(docs.select(*[col(c) for c in docs.columns if c not in added]), text)
     dimensions = {"mix_source": col(source), "mix_lang": col(lang), "mix_topic": F.col("topic")}
     cells = settle(
         rows.groupBy(*[c.alias(n) for n, c in dimensions.items()]).agg(F.sum("tokens").alias("tokens")), "cells"
     )
     given = targets or {}
-    goals = {n: _targets(cells, n, given.get(n.removeprefix("mix_")), flatten) for n in dimensions}
-    shares = settle(
-        probabilities(rake(cells, goals), keep).select(*dimensions, "weight", "probability").coalesce(1), "shares"
-    )
+    goals = {n: _targets(cells, n, given.get(n.removeprefix("mix_")), flatten, keep) for n in dimensions}
+    raked, worst = rake(cells, goals, keep)
+    shares = settle(raked.select(*dimensions, "weight", "probability"), "shares")
     match = None
     for name, column in dimensions.items():
         one = column.eqNullSafe(F.col(name))
@@ -180,12 +206,13 @@ def mixed(
     names = [c for c in docs.columns if c not in added]
     drawn = chance(F.lit(seed), col(doc_id), F.xxhash64(col(text)))
     return rows.join(shares, match, "left").select(
-        *[col(c) for c in names], "tokens", "topic", "weight", "probability", (drawn < F.col("probability")).alias("kept")
-    )
+        *[col(c) for c in names], "tokens", "topic", "weight", "probability", (drawn < F.col("probability")).alias("kept"),
+        F.lit(float(worst)).alias("margin_off"),
+    )
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """doc_id, tokens, topic, weight, probability and kept of every row."""
+    """doc_id, tokens, topic, weight, probability, kept and margin_off of every row."""
     return mixed(docs, doc_id, **options).select(
-        col(doc_id).alias("doc_id"), "tokens", "topic", "weight", "probability", "kept"
+        col(doc_id).alias("doc_id"), "tokens", "topic", "weight", "probability", "kept", "margin_off"
     )

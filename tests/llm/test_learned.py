@@ -167,41 +167,69 @@ def test_a_language_of_copies_has_a_dictionary(spark):
 # --- mixing --------------------------------------------------------------------------------
 
 
-def plain_rake(cells, dims, targets, sweeps):
-    w = {c: t / sum(cells.values()) for c, t in cells.items()}
-    for _ in range(sweeps):
-        for d in range(dims):
-            margin = collections.Counter()
-            for c, x in w.items():
-                margin[c[d]] += x
-            w = {c: x * targets[d][c[d]] / margin[c[d]] for c, x in w.items()}
-    return w
+def plain_targets(seen, keep):
+    """Shares to the power FLATTEN, none above FULL of what a sample of ``keep`` could take; the rest is shared out."""
+    total = sum(seen.values())
+    most = {v: t / total / keep * raking.FULL for v, t in seen.items()}
+    flat, full = {v: t**raking.FLATTEN for v, t in seen.items()}, set()
+    while True:
+        left = 1 - sum(most[v] for v in full)
+        scale = left / sum(f for v, f in flat.items() if v not in full)
+        more = {v for v, f in flat.items() if v not in full and f * scale > most[v]}
+        if not more:
+            return {v: most[v] if v in full else f * scale for v, f in flat.items()}
+        full |= more
+
+
+def margins(both, amount):
+    """Shares of the amounts by source, language and topic."""
+    total = sum(map(amount, both))
+    out = [collections.Counter() for _ in range(3)]
+    for r in both:
+        for d, v in enumerate((r.source, r.lang, r.topic)):
+            out[d][v] += amount(r) / total
+    return out
+
+
+def check_margins(both, tolerance, sampled):
+    """Expected shares are the targets; those of the rows kept are so within what drawing allows."""
+    targets = [
+        plain_targets({v: t for v, t in m.items()}, raking.KEEP) for m in margins(both, lambda r: r.tokens)
+    ]
+    for wanted, expected, kept in zip(targets, margins(both, lambda r: r.tokens * r.probability), margins(both, lambda r: r.tokens * r.kept)):
+        assert all(abs(expected[v] / w - 1) < tolerance for v, w in wanted.items())
+        assert all(abs(kept[v] - w) < sampled for v, w in wanted.items())
+    assert all(0 < r.probability <= 1 for r in both) and max(r.margin_off for r in both) <= raking.TOLERANCE
+    assert abs(sum(r.tokens * r.probability for r in both) / sum(r.tokens for r in both) - raking.KEEP) < 0.01
 
 
 def test_mixing_of_the_query(spark):
-    found = QUERIES["op7_raked_mixing"](spark, SF)
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    """Production parameters: shares of source, language and topic in the sample follow their targets."""
+    sf = SF.replace("sf0.001", "sf0.01")
+    found = QUERIES["op7_raked_mixing"](spark, sf)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
     both = found.join(docs.select("doc_id", "source", "lang", "text"), "doc_id").collect()
-    cells = collections.Counter()
     for r in both:
         tokens, topic = raking._counted(r.text)
         assert (r.tokens, r.topic) == (max(1, tokens), topic)
-        cells[r.source, r.lang, r.topic] += r.tokens
-    targets = []
-    for d in range(3):
-        seen = collections.Counter()
-        for c, t in cells.items():
-            seen[c[d]] += t
-        flat = {v: t**raking.FLATTEN for v, t in seen.items()}
-        targets.append({v: t / sum(flat.values()) for v, t in flat.items()})
-    expected = plain_rake(cells, 3, targets, 60)
-    weights = {(r.source, r.lang, r.topic): (r.weight, r.probability) for r in both}
-    assert max(abs(weights[c][0] - w) for c, w in expected.items()) < 2e-3
-    total = sum(cells.values())
-    assert abs(sum(t * weights[c][1] for c, t in cells.items()) / total - raking.KEEP) < 1e-3
-    free = [(weights[c][0] / t, weights[c][1]) for c, t in cells.items() if weights[c][1] < 1]
-    assert max(p / r for r, p in free) / min(p / r for r, p in free) < 1 + 1e-6
-    assert abs(sum(r.tokens for r in both if r.kept) / total - raking.KEEP) < 0.1
+    check_margins(both, 0.01, 0.06)
+    # a probability is one factor for each value of a cell, cut at 1: two by two cells agree
+    odds = {(r.source, r.lang, r.topic): r.probability for r in both if r.probability < 1}
+    checked = 0
+    for (s, lang, topic), p in odds.items():
+        for other in {c[0] for c in odds} - {s}:
+            for topic2 in {c[2] for c in odds} - {topic}:
+                square = [odds.get(c) for c in ((other, lang, topic2), (other, lang, topic), (s, lang, topic2))]
+                if None not in square:
+                    assert p * square[0] == pytest.approx(square[1] * square[2], rel=1e-6)
+                    checked += 1
+    assert checked > 100
+
+
+def test_mixing_with_a_hot_source(spark):
+    docs = spark.read.parquet(f"{SF.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "hot").otherwise(F.col("source")))
+    check_margins(raking.mixed(docs).collect(), 0.01, 0.06)
 
 
 def test_given_targets_are_met(spark):
