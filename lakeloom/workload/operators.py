@@ -24,7 +24,7 @@ from lakeloom.operators import (
 )
 from lakeloom.session import scratch_path, settle
 from lakeloom.sinks import publish as sink
-from lakeloom.sources import feeds, landing, records
+from lakeloom.sources import envelopes, feeds, landing, records
 from lakeloom.streaming import ingest
 from lakeloom.workload.registry import Tables, day_sql, key_sql, piece, query, six, six_sql, time_sql
 
@@ -77,6 +77,31 @@ def csv_load_metrics(t: Tables) -> DataFrame:
     return landing.csv_metrics(_csv_text(t), ["id", "name", "segment"])
 
 
+@query(
+    "large_envelopes",
+    """SELECT c_custkey AS id, c_name || '}, {' || c_mktsegment AS name, c_mktsegment AS segment, c_acctbal AS balance FROM customer""",
+)
+def large_envelopes(t: Tables) -> DataFrame:
+    """Payloads of one object each, whose list is cut at item borders by the tasks that read the file."""
+    landed = scratch_path(t.spark, "landed-json")
+    segment = F.col("c_mktsegment")
+    item = F.struct(
+        F.col("c_custkey").alias("id"),
+        F.concat("c_name", F.lit("}, {"), segment).alias("name"),
+        F.struct(segment.alias("segment"), F.array(F.struct(F.col("c_acctbal").alias("balance"))).alias("kept")).alias("more"),
+    )
+    lines = t.customer.select(
+        F.pmod("c_custkey", F.lit(3)).alias("payload"), F.lit(1).alias("place"), F.concat(F.to_json(item), F.lit(",")).alias("value")
+    )
+    ends = [(p, place, text) for p in range(3) for place, text in ((0, '{"meta": [{"id": -1}], "drinks": ['), (2, '"None Found"], "n": {"drinks": []}}'))]
+    whole = lines.unionByName(t.spark.createDataFrame(ends, "payload long, place int, value string"))
+    ordered = whole.repartition("payload").sortWithinPartitions("payload", "place")
+    ordered.select("payload", "value").write.partitionBy("payload").text(landed)
+    record = "id LONG, name STRING, more STRUCT<segment: STRING, kept: ARRAY<STRUCT<balance: DOUBLE>>>"
+    found = envelopes.read_envelope(t.spark, landed, "drinks", record)
+    return found.select("id", "name", "more.segment", F.col("more.kept")[0]["balance"].alias("balance"))
+
+
 @query(
     "load_lineage",
     """SELECT 'customer' AS table_name, load_id, count(*) AS row_count
