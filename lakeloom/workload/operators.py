@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from lakeloom.functions import columns as C
@@ -448,7 +448,9 @@ def draws_kept_as_bag(t: Tables) -> DataFrame:
 )
 def surrogate_keys(t: Tables) -> DataFrame:
     used = t.customer.select(F.col("c_nationkey").alias("n_nationkey")).distinct()
-    some = t.region.where(F.col("r_regionkey") > 0).withColumnRenamed("r_regionkey", "n_regionkey")
+    # the first region lands without its key, so its nations find no match
+    key = F.col("r_regionkey")
+    some = t.region.select(F.when(key > 0, key).alias("n_regionkey"), *[c for c in t.region.columns if c != "r_regionkey"])
     places = t.nation.join(used, "n_nationkey").join(some, "n_regionkey", "left")
     keyed = places.select(
         "n_name",
@@ -1075,12 +1077,17 @@ piece(
 
 
 def _gate_tables(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rows = t.customer.withColumnRenamed("c_nationkey", "nation")
-    n, b = F.col("nation"), F.col("c_acctbal")
+    """Counts of the feed, of what is stored and of the state; rows that have not been stored yet count under no nation."""
+    n, b = F.col("c_nationkey"), F.col("c_acctbal")
+
+    def counted(known: Column, alias: str) -> DataFrame:
+        rows = t.customer.select(F.when(known, n).alias("nation"))
+        return planning.count_per_key(rows, "nation", alias).where("nation is not null")
+
     return (
-        planning.count_per_key(rows, "nation", "incoming"),
-        planning.count_per_key(rows.where((b > 0) | (n < 9)), "nation", "stored"),
-        planning.count_per_key(rows.where(n.between(3, 20) & ((n < 12) | (b > 500))), "nation", "previous"),
+        counted(F.lit(True), "incoming"),
+        counted((b > 0) | (n < 9), "stored"),
+        counted(n.between(3, 20) & ((n < 12) | (b > 500)), "previous"),
     )
 
 
