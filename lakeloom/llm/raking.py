@@ -23,7 +23,7 @@ TOPICS = 16
 LONG_WORD = 5
 #: target shares are the observed ones to this power, then scaled to one
 FLATTEN = 0.7
-SWEEPS = 40
+SWEEPS = 20
 #: how far a margin of the sample may be off its target, as a share of it
 TOLERANCE = 5e-3
 #: share of all tokens that the sample keeps, where the targets allow it
