@@ -26,43 +26,48 @@ MAGIC = b"RPAIR001"
 #: ids in a shard; a longer document makes a longer shard
 SHARD_IDS = 1_000_000
 ROUNDS = 5
-PAIRS_PER_ROUND = 2048
 #: a pair must occur so often to get a symbol
 FREQUENT = 16
 
-_SLOTS = 16
 
-
-def _slot(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    mixed = left.astype(np.uint32) * np.uint32(0x9E3779B1) + right.astype(np.uint32) * np.uint32(0x85EBCA77)
-    return (mixed ^ (mixed >> np.uint32(15))) & np.uint32((1 << _SLOTS) - 1)
-
-
-def _frequent_pairs(symbols: np.ndarray, last: np.ndarray, frequent: int, limit: int) -> list[tuple[int, int]]:
-    keys = symbols[:-1].astype(np.int64) << 32 | symbols[1:]
-    keys = np.sort(keys[~last[:-1]])
+def _frequent_pairs(keys: np.ndarray, frequent: int) -> list[tuple[int, int]]:
+    """All pairs that occur ``frequent`` times, the most frequent first, but those that could overlap
+    one before them. ``keys``: both ids of each pair, -1 across the end of a document."""
+    keys = np.sort(keys)
+    keys = keys[np.searchsorted(keys, 0) :]
     if not len(keys):
         return []
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     counts = np.diff(np.append(first, len(keys)))
     often = np.flatnonzero(counts >= frequent)
-    order = often[np.lexsort((keys[first[often]], -counts[often]))][:limit]
+    order = often[np.lexsort((keys[first[often]], -counts[often]))]
     chosen: list[tuple[int, int]] = []
     lefts: set[int] = set()
     rights: set[int] = set()
-    slots: set[int] = set()
     ranked = keys[first[order]]
-    halves = zip((ranked >> 32).tolist(), (ranked & 0xFFFFFFFF).tolist())
-    for (a, b), slot in zip(halves, _slot(ranked >> 32, ranked & 0xFFFFFFFF).tolist()):
-        if a in rights or b in lefts or slot in slots or (a == b and (a in lefts or b in rights)):
+    for a, b in zip((ranked >> 32).tolist(), (ranked & 0xFFFFFFFF).tolist()):
+        if a in rights or b in lefts or (a == b and (a in lefts or b in rights)):
             continue
         chosen.append((a, b))
         lefts.add(a)
         rights.add(b)
-        slots.add(slot)
     return chosen
 
 
+def _occurrences(symbols: np.ndarray, keys: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a document has one of the pairs, and the number of that pair."""
+    most = int(symbols.max()) + 1
+    is_left, is_right = np.zeros(most, dtype=bool), np.zeros(most, dtype=bool)
+    is_left[pairs[:, 0]], is_right[pairs[:, 1]] = True, True
+    where = np.flatnonzero(is_left[symbols[:-1]] & is_right[symbols[1:]])
+    ranked = pairs[:, 0].astype(np.int64) << 32 | pairs[:, 1]
+    order = np.argsort(ranked)
+    ranked, found = ranked[order], keys[where]
+    at = np.minimum(np.searchsorted(ranked, found), len(ranked) - 1)
+    hit = ranked[at] == found
+    return where[hit], order[at[hit]]
+
+
 @dataclass
 class Shard:
     """Symbols of some documents, and the grammar that expands them."""
@@ -89,26 +94,20 @@ class Shard:
         left: list[int] = []
         right: list[int] = []
         for _ in range(ROUNDS):
-            chosen = _frequent_pairs(symbols, last, FREQUENT, PAIRS_PER_ROUND)
+            keys = symbols[:-1].astype(np.int64) << 32 | symbols[1:]
+            keys[last[:-1]] = -1
+            chosen = _frequent_pairs(keys, FREQUENT)
             if not chosen:
                 break
             pairs = np.array(chosen, dtype=np.uint32)
-            table = np.full(1 << _SLOTS, -1, dtype=np.int64)
-            rule = np.zeros(1 << _SLOTS, dtype=np.uint32)
-            slots = _slot(pairs[:, 0], pairs[:, 1])
-            table[slots] = pairs[:, 0].astype(np.int64) << 32 | pairs[:, 1]
-            rule[slots] = first + len(left) + np.arange(len(pairs))
-            at = _slot(symbols[:-1], symbols[1:])
-            hit = table[at] == (symbols[:-1].astype(np.int64) << 32 | symbols[1:])
-            hit &= ~last[:-1]
-            where = np.flatnonzero(hit)
+            where, which = _occurrences(symbols, keys, pairs)
             twins = symbols[where] == symbols[where + 1]
             if twins.any():  # in a run of one id, every other pair
                 run = np.cumsum(np.concatenate([[0], np.diff(where) != 1]))
                 begin = np.concatenate([[0], np.flatnonzero(np.diff(run)) + 1])
                 odd = (np.arange(len(where)) - begin[run]) % 2 == 1
-                where = where[~(twins & odd)]
-            symbols[where] = rule[at[where]]
+                where, which = where[~(twins & odd)], which[~(twins & odd)]
+            symbols[where] = first + len(left) + which
             keep = np.ones(len(symbols), dtype=bool)
             keep[where + 1] = False
             last[where] = last[where + 1]

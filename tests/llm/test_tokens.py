@@ -82,6 +82,18 @@ def test_grammar_compresses():
     assert len(shard.symbols) < len(ids) / 30 and shard.lengths.max() == 2**re_pair.ROUNDS
 
 
+def test_every_frequent_pair_gets_a_symbol(monkeypatch):
+    monkeypatch.setattr(re_pair, "ROUNDS", 1)
+    rng, n = np.random.default_rng(1), 9000
+    docs = [np.append(np.stack([100 + order, 50_000 + order], 1).ravel(), 2) for order in map(rng.permutation, [n] * re_pair.FREQUENT)]
+    bounds = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+    ids = np.concatenate(docs).astype(np.uint32)
+    shard = re_pair.Shard.compress(list(range(len(docs))), ids, bounds)
+    assert sorted(zip(shard.left.tolist(), shard.right.tolist())) == [(100 + i, 50_000 + i) for i in range(n)]
+    assert len(shard.symbols) == len(docs) * (n + 1)
+    assert np.array_equal(shard.all_ids()[0], ids)
+
+
 def expected_ids(pairs):
     start = 0
     for doc, text in pairs:
