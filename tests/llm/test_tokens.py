@@ -94,6 +94,11 @@ def test_every_frequent_pair_gets_a_symbol(monkeypatch):
     assert np.array_equal(shard.all_ids()[0], ids)
 
 
+def test_words_by_their_parts():
+    letters = "".join(c for c in map(chr, range(192, 256)) if c.isalpha())
+    assert_encoded(["The the THE, the. the', (the) ÿß ñandú! Élan élan; " + " ".join(letters) + " " + letters, "the the", "don't, l'x's ''"])
+
+
 def expected_ids(pairs):
     start = 0
     for doc, text in pairs:
