@@ -106,6 +106,26 @@ def _targets(cells: DataFrame, dimension: str, wanted: Mapping | None, flatten:
     return settle(seen.withColumn("share", F.col("share") / F.lit(total)), f"target-{dimension}")
 
 
+def _scaled(raked: DataFrame, dimension: str, size: float) -> DataFrame:
+    """``raked`` with free scaled to the margin of a dimension, and off at least what that was off before."""
+    uncut = F.col("free") < 1
+    margin = raked.groupBy(F.col(dimension).alias("value")).agg(
+        F.sum(F.least(F.col("free"), F.lit(1.0)) * F.col("tokens")).alias("given"),
+        F.sum(F.when(uncut, 0.0).otherwise(F.col("tokens"))).alias("held"),
+        F.sum(F.when(uncut, F.col("free") * F.col("tokens")).otherwise(0.0)).alias("moved"),
+        F.max(f"{dimension}_share").alias("share"),  # the same in all cells of a value
+    )
+    asked = F.col("share") * F.lit(size)
+    up = F.greatest(F.coalesce(F.try_divide(asked - F.col("held"), "moved"), F.lit(1.0)), F.lit(1.0))
+    factor = F.when(F.col("given") < asked, up).otherwise(F.coalesce(F.try_divide(asked, "given"), F.lit(0.0)))
+    away = F.when(asked > 0, F.abs(F.col("given") / asked - 1)).otherwise(0.0)
+    factors = margin.select("value", factor.alias("factor"), away.alias("away"))
+    kept = [col(c) for c in raked.columns if c not in ("free", "off")]
+    return raked.join(factors, F.col(dimension).eqNullSafe(F.col("value"))).select(
+        *kept, (F.col("free") * F.col("factor")).alias("free"), F.greatest("off", "away").alias("off")
+    )
+
+
 def rake(
     cells: DataFrame,
     targets: Mapping[str, DataFrame],
@@ -133,28 +153,15 @@ def rake(
         size = min(size, least if least >= size * (1 - 1e-9) else least * FULL)
     names = [col(c) for c in cells.columns]
     raked, worst = cells.withColumn("free", F.lit(size / total)), 0.0
+    for dimension, target in targets.items():
+        shares = target.select("value", F.col("share").alias(f"{dimension}_share"))
+        raked = raked.join(shares, F.col(dimension).eqNullSafe(F.col("value"))).drop("value")
+    raked = settle(raked, "cells-asked")
     for sweep in range(sweeps):
         raked = raked.withColumn("off", F.lit(0.0))
-        for dimension, target in targets.items():
-            uncut = F.col("free") < 1
-            margin = raked.groupBy(F.col(dimension).alias("value")).agg(
-                F.sum(F.least(F.col("free"), F.lit(1.0)) * F.col("tokens")).alias("given"),
-                F.sum(F.when(uncut, 0.0).otherwise(F.col("tokens"))).alias("held"),
-                F.sum(F.when(uncut, F.col("free") * F.col("tokens")).otherwise(0.0)).alias("moved"),
-            )
-            asked = F.col("share") * F.lit(size)
-            up = F.greatest(F.coalesce(F.try_divide(asked - F.col("held"), "moved"), F.lit(1.0)), F.lit(1.0))
-            factor = F.when(F.col("given") < asked, up).otherwise(F.coalesce(F.try_divide(asked, "given"), F.lit(0.0)))
-            away = F.when(asked > 0, F.abs(F.col("given") / asked - 1)).otherwise(0.0)
-            factors = margin.alias("m").join(target.alias("t"), F.col("m.value").eqNullSafe(F.col("t.value"))).select(
-                F.col("m.value").alias("value"), factor.alias("factor"), away.alias("away")
-            )
-            raked = raked.join(factors, F.col(dimension).eqNullSafe(F.col("value"))).select(
-                *names, (F.col("free") * F.col("factor")).alias("free"), F.greatest("off", "away").alias("off")
-            )
-        raked = settle(raked, f"raked-{sweep}")
+        for dimension in targets:  # each written, or the plan of a sweep would double with each dimension
+            raked = settle(_scaled(raked, dimension, size), f"raked-{sweep}-{dimension}")
         worst = raked.agg(F.max("off")).first()[0]
-        raked = raked.drop("off")
         if worst <= tolerance:
             break
     chance_of = F.least(F.col("free"), F.lit(1.0))

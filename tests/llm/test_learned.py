@@ -257,6 +257,21 @@ def test_mixing_of_odd_rows(spark):
     assert raking.mixed(df.limit(0)).count() == 0
 
 
+def test_a_step_of_raking_is_one_join(spark, monkeypatch):
+    """Plans do not grow with the dimensions: what the driver holds of them does not either."""
+    joins = []
+
+    def seen(df, label):
+        joins.append((label, df._jdf.queryExecution().optimizedPlan().toString().count("Join ")))
+        return settle(df, label)
+
+    monkeypatch.setattr(raking, "settle", seen)
+    df = frame(spark, ["some words here", "other words", "more of them there"] * 4, list(range(12)))
+    raking.mixed(df.withColumn("source", F.col("doc_id") % 3).withColumn("lang", F.col("doc_id") % 2))
+    steps = [n for label, n in joins if label.startswith("raked-")]
+    assert len(steps) >= 3 and max(steps) == 1
+
+
 # --- pipeline ------------------------------------------------------------------------------
 
 
